@@ -11,6 +11,7 @@ from checks.oracle import ORACLE
 from tidemark.functions import parsing, scoring
 from tidemark.operators import features as ft
 from tidemark.operators import panes, rolling, sequence, sessions
+from tidemark.operators.slices import busiest
 from tidemark.plans import intents, nightly, propensity, quality, reports
 from tidemark.schemas import CAMPAIGN_THRESHOLD, PRODUCTS
 from tidemark.session import configure
@@ -55,7 +56,8 @@ def _base(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _marked_events(spark: SparkSession, sf: str) -> DataFrame:
-    return rolling.with_hot(adapters.all_events(spark, sf))
+    events = adapters.all_events(spark, sf)
+    return rolling.with_hot(events, largest=busiest(events, ["customer_id"]))
 
 
 def _kept(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,9 +212,8 @@ def customer_x_product(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def normalized_signals(spark: SparkSession, sf: str) -> DataFrame:
-    terms = [n for n, _, _ in scoring.weighted_terms()] + [n for n, _ in scoring.bonus_terms()]
     return propensity.normalized_signals(_inputs(spark, sf), tables.load_weights(spark)).select(
-        "customer_id", "product_family", *terms
+        "customer_id", "product_family", *scoring.TERM_NAMES
     )
 
 
@@ -318,7 +319,8 @@ def large_credit_quiet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def home_session(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.home_session_triggers(adapters.all_events(spark, sf))
+    events = adapters.all_events(spark, sf)
+    return sessions.home_session_triggers(events, largest=busiest(events, ["customer_id"]))
 
 
 def sequence_alerts(spark: SparkSession, sf: str) -> DataFrame:
@@ -349,9 +351,9 @@ def composite_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def category_spend_7d(spark: SparkSession, sf: str) -> DataFrame:
-    return intents.category_spend_of(_kept(spark, sf), adapters.all_events(spark, sf)).select(
-        "customer_id", "event_id", "merchant_category", "spend"
-    )
+    events = adapters.all_events(spark, sf)
+    largest = busiest(events, ["customer_id"])
+    return intents.category_spend_of(intents.kept_intents(events, largest=largest), events, largest)
 
 
 def intent_events(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,46 +16,42 @@ from tidemark.schemas import (
 )
 
 
-def _clamp(value: Column, top: float) -> Column:
-    return F.least(F.lit(top), F.greatest(F.lit(0.0), value))
+def _clamp(value: str, top: str = "100D") -> str:
+    return f"least({top}, greatest(0D, {value}))"
 
 
-def _share(name: str, full: float, top: float = 100.0) -> Column:
+def _share(name: str, full: int, top: int = 100) -> str:
     """`name` as a share of `full`, scaled to `top` and cut there; a null counts as `top`."""
-    return F.least(F.lit(top), F.col(name).cast("double") / full * top)
+    return f"least({top}D, double({name}) / {full}D * {top}D)"
 
 
 # Output term, its expression, and the weight that multiplies it, in the order of addition.
-def weighted_terms() -> list[tuple[str, Column, str]]:
-    days = F.col("days_since_last_txn").cast("double")
-    return [
-        ("total_spend_normalized", _share("total_spend_30d", 1000.0), "total_spend_wt"),
-        ("txn_count_normalized", _share("txn_count_30d", 20.0), "txn_count_wt"),
-        ("avg_txn_normalized", _share("avg_txn_30d", 500.0), "avg_txn_wt"),
-        ("diversity_normalized", _share("unique_category_count_30d", 5.0), "diversity_wt"),
-        ("income_normalized", _share("salary_credit_30d", 5000.0), "income_wt"),
-        ("activity_normalized", _share("debit_txn_count_30d", 20.0), "activity_wt"),
-        ("recency_normalized", _clamp((90.0 - days) / 0.9, 100.0), "recency_wt"),
-        ("affinity_normalized", F.col("existing_products_flag").cast("double") * 100.0, "affinity_wt"),
-        ("age_normalized", _clamp((F.col("age").cast("double") - 18.0) / 52.0 * 100.0, 100.0), "age_wt"),
-    ]
-
-
-def bonus_terms() -> list[tuple[str, Column]]:
-    return [
-        ("campaign_bonus", F.col("campaign_response_flag").cast("double") * 50.0),
-        ("touch_bonus", _share("campaign_touch_count", 5.0, 50.0)),
-    ]
+WEIGHTED_TERMS = [
+    ("total_spend_normalized", _share("total_spend_30d", 1000), "total_spend_wt"),
+    ("txn_count_normalized", _share("txn_count_30d", 20), "txn_count_wt"),
+    ("avg_txn_normalized", _share("avg_txn_30d", 500), "avg_txn_wt"),
+    ("diversity_normalized", _share("unique_category_count_30d", 5), "diversity_wt"),
+    ("income_normalized", _share("salary_credit_30d", 5000), "income_wt"),
+    ("activity_normalized", _share("debit_txn_count_30d", 20), "activity_wt"),
+    ("recency_normalized", _clamp("(90D - double(days_since_last_txn)) / 0.9D"), "recency_wt"),
+    ("affinity_normalized", "double(existing_products_flag) * 100D", "affinity_wt"),
+    ("age_normalized", _clamp("(double(age) - 18D) / 52D * 100D"), "age_wt"),
+]
+BONUS_TERMS = [
+    ("campaign_bonus", "double(campaign_response_flag) * 50D"),
+    ("touch_bonus", _share("campaign_touch_count", 5, 50)),
+]
+TERM_NAMES = [t[0] for t in WEIGHTED_TERMS] + [t[0] for t in BONUS_TERMS]
+
+
+def normalized_terms() -> list[str]:
+    return [f"{expression} as {name}" for name, expression, *_ in [*WEIGHTED_TERMS, *BONUS_TERMS]]
 
 
 def propensity_score() -> Column:
-    """Score from columns named by `weighted_terms` and `bonus_terms`, and the weight columns."""
-    total = None
-    for name, _, weight in weighted_terms():
-        part = F.col(name) * F.col(weight)
-        total = part if total is None else total + part
-    bonus = (F.col("campaign_bonus") + F.col("touch_bonus")) / 10.0
-    return _clamp(total + bonus, 100.0)
+    """Score from the columns of `normalized_terms` and the weight columns."""
+    parts = [f"{name} * {weight}" for name, _, weight in WEIGHTED_TERMS]
+    return F.expr(_clamp(" + ".join([*parts, "(campaign_bonus + touch_bonus) / 10D"])))
 
 
 def campaign_segment(product: Column, score: Column) -> Column:

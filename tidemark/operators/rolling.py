@@ -7,50 +7,46 @@ which orders events of the same millisecond by event id and can be cut into slic
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.slices import HOT_ROWS, first_at_or_after, mark_hot, running_totals
-from tidemark.schemas import DAY_MS, EVENT_MONEY, LARGE_CREDIT_AMOUNT, LIFESTYLE_CATEGORIES, QUIET_MS, WEEK_MS
+from tidemark.schemas import DAY_MS, LARGE_CREDIT_AMOUNT, QUIET_MS, WEEK_MS
 
 MEASURES = ["retail_24h", "card_7d", "salary_7d", "lifestyle_7d", "quiet_credit"]
 
-
-def is_salary() -> Column:
-    return F.coalesce(F.col("transaction_type") == "salary", F.lit(False)) | F.coalesce(
-        F.col("merchant_category") == "salary", F.lit(False)
-    )
+IS_SALARY = "(transaction_type <=> 'salary' or merchant_category <=> 'salary')"
+IS_LIFESTYLE = "merchant_category in ('travel', 'electronics')"
+TARGET = "struct(event_ts_ms as ms, event_id as id)"
 
 
-def with_hot(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_hot(events: DataFrame, hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
     """Events with `slice_ms`, set for customers with more than `hot_rows` events."""
-    return mark_hot(events, ["customer_id"], "event_ts_ms", hot_rows)
+    return mark_hot(events, ["customer_id"], "event_ts_ms", hot_rows, largest)
 
 
 def quiet_credits(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
     """Large salary credits with no other transaction in the `quiet_ms` that follow.
 
-    `events` carries `slice_ms`.  Columns: customer_id, event_id, credit_ms, next_ms, next_id, slice_ms; the
-    next transaction is the first one strictly later than the credit.  A transaction exactly at the
-    end of the quiet period is kept too: the credit counts as quiet until that transaction arrives.
+    `events` carries `slice_ms`.  Columns: customer_id, slice_ms, event_id, credit_ms, next_ms,
+    next_id; the next transaction is the first one strictly later than the credit.  A transaction
+    exactly at the end of the quiet period is kept too: the credit counts as quiet until it arrives.
     """
-    txns = events.where(F.col("kind") == "txn")
-    credits = txns.where(is_salary() & (F.col("amount") >= LARGE_CREDIT_AMOUNT)).select(
-        "customer_id", "slice_ms", (F.col("event_ts_ms") + 1).alias("t"),
-        F.col("event_ts_ms").alias("credit_ms"), "event_id",
+    probe = "named_struct('credit_ms', event_ts_ms, 'event_id', event_id)"
+    rows = events.where("kind = 'txn'").selectExpr(
+        "customer_id", "slice_ms",
+        f"""inline(array_compact(array(
+            named_struct('t', event_ts_ms, 'target', {TARGET}, 'probe', if(false, {probe}, null)),
+            if({IS_SALARY} and amount >= {LARGE_CREDIT_AMOUNT},
+               named_struct('t', event_ts_ms + 1, 'target', if(false, {TARGET}, null), 'probe', {probe}), null))))""",
     )
-    targets = txns.select("customer_id", "slice_ms", F.col("event_ts_ms").alias("t"), "event_id")
-    found = first_at_or_after(credits, targets, ["customer_id"])
-    return found.where(
-        F.col("next_ms").isNull() | (F.col("next_ms") >= F.col("credit_ms") + quiet_ms)
-    ).drop("t")
+    found = first_at_or_after(rows, ["customer_id"])
+    return found.where(f"next_ms is null or next_ms >= credit_ms + {quiet_ms}")
 
 
-def _mark(t: Column, step: int, event_id: Column, seq: int, event: Column | None = None, **marks) -> Column:
-    values = [F.coalesce(F.lit(marks[m]) if m in marks else F.lit(0), F.lit(0)).cast("int").alias(m)
-              for m in MEASURES]
-    flag = F.lit(False) if event is None else event
-    return F.struct(t.cast("bigint").alias("t"), F.lit(step).alias("step"), event_id.cast("bigint").alias("event_id"),
-                    F.lit(seq).alias("seq"), flag.alias("is_event"), *values)
+def _mark(t: str, step: int, event_id: str, seq: int, is_event: bool = False, **marks: str) -> str:
+    values = ", ".join(f"'{m}', int({marks.get(m, '0')})" for m in MEASURES)
+    return (f"named_struct('t', bigint({t}), 'step', {step}, 'event_id', bigint({event_id}), 'seq', {seq}, "
+            f"'is_event', {str(is_event).lower()}, {values})")
 
 
 def rolling_features(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
@@ -58,65 +54,60 @@ def rolling_features(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
 
     `events` carries `slice_ms` (see `with_hot`).
     """
-    txn = F.col("kind") == "txn"
-    category, ts, key = F.col("merchant_category"), F.col("event_ts_ms"), F.col("event_id")
-
-    def count_of(condition: Column) -> Column:
-        return F.coalesce((txn & condition).cast("int"), F.lit(0))
-
-    marked = events.select(
+    marked = events.selectExpr(
         "customer_id", "slice_ms", "event_ts_ms", "event_id",
-        count_of(category == "retail").alias("r"),
-        count_of(F.col("has_credit_card") > 0).alias("c"),
-        count_of(is_salary()).alias("s"),
-        count_of(category.isin(LIFESTYLE_CATEGORIES)).alias("l"),
+        "int(kind = 'txn' and merchant_category <=> 'retail') as r",
+        "int(kind = 'txn' and coalesce(has_credit_card, 0) > 0) as c",
+        f"int(kind = 'txn' and {IS_SALARY}) as s",
+        f"int(kind = 'txn' and coalesce({IS_LIFESTYLE}, false)) as l",
     )
-    r, c, s, lf = (F.col(n) for n in "rcsl")
-    at_event = _mark(ts, 1, key, 1, F.lit(True), retail_24h=r, card_7d=c, salary_7d=s, lifestyle_7d=lf)
-    after_day = F.when(r > 0, _mark(ts + DAY_MS + 1, 0, key, 0, retail_24h=-r))
-    after_week = F.when(
-        c + s + lf > 0, _mark(ts + WEEK_MS + 1, 0, key, 0, card_7d=-c, salary_7d=-s, lifestyle_7d=-lf)
+    at_event = _mark("event_ts_ms", 1, "event_id", 1, True, retail_24h="r", card_7d="c", salary_7d="s", lifestyle_7d="l")
+    after_day = _mark(f"event_ts_ms + {DAY_MS + 1}", 0, "event_id", 0, retail_24h="-r")
+    after_week = _mark(f"event_ts_ms + {WEEK_MS + 1}", 0, "event_id", 0, card_7d="-c", salary_7d="-s", lifestyle_7d="-l")
+    rows = marked.selectExpr(
+        "customer_id", "slice_ms",
+        f"inline(array_compact(array({at_event}, if(r > 0, {after_day}, null), if(c + s + l > 0, {after_week}, null))))",
     )
-    rows = marked.select("customer_id", "slice_ms", F.inline(F.array_compact(F.array(at_event, after_day, after_week))))
-
-    credit, nxt = F.col("credit_ms"), F.col("next_ms")
-    closes = F.when(
-        nxt == credit + quiet_ms, _mark(nxt, 1, F.col("next_id"), 0, quiet_credit=-1)
-    ).otherwise(_mark(credit + WEEK_MS + 1, 0, key, 0, quiet_credit=-1))
-    quiet = quiet_credits(events, quiet_ms).select(
+    opens = _mark(f"credit_ms + {quiet_ms}", 0, "event_id", 0, quiet_credit="1")
+    lapses = _mark(f"credit_ms + {WEEK_MS + 1}", 0, "event_id", 0, quiet_credit="-1")
+    broken = _mark("next_ms", 1, "next_id", 0, quiet_credit="-1")
+    quiet = quiet_credits(events, quiet_ms).selectExpr(
         "customer_id", "slice_ms",
-        F.inline(F.array(_mark(credit + quiet_ms, 0, key, 0, quiet_credit=1), closes)),
+        f"inline(array({opens}, if(next_ms <=> credit_ms + {quiet_ms}, {broken}, {lapses})))",
     )
     totals = running_totals(rows.unionByName(quiet), ["customer_id"], MEASURES)
-    return totals.where("is_event").select("customer_id", "slice_ms", "event_id", F.col("t").alias("event_ts_ms"), *MEASURES)
+    return totals.where("is_event").selectExpr("customer_id", "slice_ms", "event_id", "t as event_ts_ms", *MEASURES)
 
 
 def category_spend(intents: DataFrame, events: DataFrame) -> DataFrame:
-    """Spend per category over the week up to each intent: intent columns, merchant_category, spend.
+    """Spend and count per category over the week up to each intent, in rows of the intent's columns
+    plus merchant_category, spend and n.
 
-    The intent's own event is included, as are earlier events of its millisecond.  Intents ask every
-    category the customer has ever used; those without a transaction in the week drop out.
+    The intent's own event is included, as are earlier events of its millisecond.  An intent asks
+    every category its customer has ever used; n is 0 where the week holds none.  `events` carries
+    `slice_ms`.
     """
     keys = ["customer_id", "merchant_category"]
-    txns = events.where(F.col("kind") == "txn").withColumn(
-        "merchant_category", F.coalesce("merchant_category", F.lit("unknown"))
+    txns = events.where("kind = 'txn'").selectExpr(
+        "customer_id", "coalesce(merchant_category, 'unknown') as merchant_category", "slice_ms", "event_ts_ms",
+        "event_id", "cast(amount as decimal(18,2)) as amount",
+    )
+
+    def move(t: str, step: int, sign: str, n: int) -> str:
+        return (f"named_struct('t', {t}, 'step', {step}, 'event_id', event_id, 'seq', 1, "
+                f"'spend', cast({sign}amount as decimal(18,2)), 'n', {n})")
+
+    moves = txns.selectExpr(
+        *keys, "slice_ms",
+        f"inline(array({move('event_ts_ms', 1, '', 1)}, {move(f'event_ts_ms + {WEEK_MS + 1}', 0, '-', -1)}))",
     )
-    amount = F.col("amount").cast(EVENT_MONEY)
-    ts, key = F.col("event_ts_ms"), F.col("event_id")
-
-    def mark(t: Column, step: int, sign: int) -> Column:
-        return F.struct(t.alias("t"), F.lit(step).alias("step"), key.alias("event_id"), F.lit(1).alias("seq"),
-                        (amount * sign).cast(EVENT_MONEY).alias("spend"), F.lit(sign).alias("n"))
-
-    moves = txns.select(*keys, "slice_ms", F.inline(F.array(mark(ts, 1, 1), mark(ts + WEEK_MS + 1, 0, -1))))
-    used = txns.groupBy(*keys, "slice_ms").agg(F.lit(1).alias("_used"))
-    probes = (
-        intents.join(used, "customer_id")
-        .select(*keys, "slice_ms", F.col("event_ts_ms").alias("t"), F.lit(1).alias("step"), "event_id",
-                F.lit(2).alias("seq"), F.lit(0).cast(EVENT_MONEY).alias("spend"), F.lit(0).alias("n"),
-                F.struct(*[c for c in intents.columns if c != "customer_id"]).alias("intent"))
+    used = txns.select(*keys, "slice_ms").distinct()
+    payload = [c for c in intents.columns if c != "customer_id"]
+    probes = intents.join(used, "customer_id").selectExpr(
+        *keys, "slice_ms", "event_ts_ms as t", "1 as step", "event_id", "2 as seq",
+        "cast(0 as decimal(18,2)) as spend", "0 as n", f"struct({', '.join(payload)}) as intent",
     )
     totals = running_totals(moves.unionByName(probes, allowMissingColumns=True), keys, ["spend", "n"])
-    return totals.where(F.col("intent").isNotNull() & (F.col("n") > 0)).select(
-        "customer_id", "merchant_category", F.col("spend").cast("double").alias("spend"), "intent.*"
+    return totals.where("intent is not null").selectExpr(
+        "customer_id", "merchant_category", "double(spend) as spend", "n", "intent.*"
     )

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.slices import mark_hot, slice_of
+from tidemark.operators.slices import SLICE, mark_hot
 from tidemark.schemas import HOME_CATEGORIES, HOME_SESSION_LIMIT, WEEK_MS
 
 FOLD_ROWS = 20_000
@@ -31,14 +31,20 @@ def home_transactions(events: DataFrame) -> DataFrame:
     )
 
 
-def home_session_triggers(events: DataFrame, fold_rows: int = FOLD_ROWS) -> DataFrame:
-    """Events at which a customer's session passes the limit, with the spend and the session length."""
-    marked = mark_hot(home_transactions(events), ["customer_id"], "event_ts_ms", fold_rows)
-    small = _fold(marked.where(F.col("slice_ms").isNull()))
-    large = _replay_slices(marked.where(F.col("slice_ms").isNotNull()))
-    return small.unionByName(large).select(
-        "customer_id", "event_id", "event_ts_ms", (F.col("spend_cents") / 100).alias("spend"), "session_window_ms"
-    )
+def home_session_triggers(events: DataFrame, fold_rows: int = FOLD_ROWS, largest: int | None = None) -> DataFrame:
+    """Events at which a customer's session passes the limit, with the spend and the session length.
+
+    `largest` is the number of events of the busiest customer where the caller knows it.
+    """
+    home = home_transactions(events)
+    if largest is not None and largest <= fold_rows:
+        fired = _fold(home)
+    else:
+        marked = mark_hot(home, ["customer_id"], "event_ts_ms", fold_rows)
+        fired = _fold(marked.where("slice_ms is null")).unionByName(
+            _replay_slices(marked.where("slice_ms is not null"))
+        )
+    return fired.selectExpr("customer_id", "event_id", "event_ts_ms", "spend_cents / 100 as spend", "session_window_ms")
 
 
 def _fold(home: DataFrame) -> DataFrame:
@@ -192,7 +198,8 @@ def _replay(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _replay_slices(home: DataFrame) -> DataFrame:
-    rows = home.withColumn("slice", slice_of(F.col("event_ts_ms"))).drop("slice_ms")
+    rows = home.withColumnRenamed("event_ts_ms", "t").withColumn("slice", F.expr(SLICE)).drop("slice_ms")
+    rows = rows.withColumnRenamed("t", "event_ts_ms")
     keys = ["customer_id", "slice"]
     summaries = rows.groupBy(*keys).applyInPandas(
         _summary,

@@ -11,11 +11,19 @@ Rows are ordered by (t, step, event_id, seq): `t` is event time in milliseconds,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 HOT_ROWS = 1_000_000
 ORDER = ["t", "step", "event_id", "seq"]
 
+# Everything that is not hot shares slice -1.
+SLICE = "if(slice_ms is null, -1L, bigint(floor(t / slice_ms)))"
+
+
+def busiest(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the largest key.  One aggregate over the key column; a single number comes back."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
 
 def hot_keys(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than `hot_rows` rows and the slice length that suits their own row rate.
@@ -23,24 +31,25 @@ def hot_keys(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS) -
     There are at most rows / hot_rows such keys.  A slice holds hot_rows / 16 rows on average, which
     leaves room for bursts.
     """
-    span, n = F.max(t) - F.min(t) + 1, F.count("*")
-    length = F.greatest(F.lit(1), F.floor(span * (hot_rows / 16) / n)).cast("bigint")
+    length = f"bigint(greatest(1, floor((max({t}) - min({t}) + 1) * ({hot_rows} / 16) / count(*))))"
     return (
         df.groupBy(*keys)
-        .agg(n.alias("_n"), length.alias("slice_ms"))
+        .agg(F.count("*").alias("_n"), F.expr(length).alias("slice_ms"))
         .where(F.col("_n") > hot_rows)
         .drop("_n")
     )
 
 
-def mark_hot(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Adds `slice_ms`, null for all but hot keys.  The bound on hot keys is what allows the broadcast."""
-    return df.join(F.broadcast(hot_keys(df, keys, t, hot_rows)), keys, "left")
-
+def mark_hot(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
+    """Adds `slice_ms`, null for all but hot keys.
 
-def slice_of(t: Column) -> Column:
-    """Slice number of a row with column `slice_ms`; everything that is not hot shares slice -1."""
-    return F.when(F.col("slice_ms").isNotNull(), F.floor(t / F.col("slice_ms"))).otherwise(F.lit(-1)).cast("bigint")
+    With `largest` known to be within `hot_rows` there is nothing to find, the column is a constant
+    and the optimizer removes every carry branch.  Otherwise the hot keys are joined; their number
+    is bounded by rows / hot_rows, which is what allows the broadcast.
+    """
+    if largest is not None and largest <= hot_rows:
+        return df.withColumn("slice_ms", F.lit(None).cast("bigint"))
+    return df.join(F.broadcast(hot_keys(df, keys, t, hot_rows)), keys, "left")
 
 
 def running_totals(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -48,15 +57,14 @@ def running_totals(rows: DataFrame, keys: list[str], measures: list[str]) -> Dat
 
     `rows` has the keys, the ORDER columns, `slice_ms`, the measures and any payload columns.
     """
-    rows = rows.withColumn("slice", slice_of(F.col("t")))
+    rows = rows.withColumn("slice", F.expr(SLICE))
     earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        rows.where(F.col("slice_ms").isNotNull())
+        rows.where("slice_ms is not null")
         .groupBy(*keys, "slice")
         .agg(*[F.sum(m).alias(m) for m in measures])
-        .select(*keys, "slice", *[F.sum(m).over(earlier).alias(m) for m in measures])
+        .select(*keys, "slice", *[F.sum(m).over(earlier).alias(m) for m in measures], F.lit(True).alias("carried"))
         .where(F.col(measures[0]).isNotNull())
-        .withColumn("carried", F.lit(True))
     )
     # a carry row has no time, which sorts it to the front of its slice
     within = Window.partitionBy(*keys, "slice").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
@@ -64,40 +72,34 @@ def running_totals(rows: DataFrame, keys: list[str], measures: list[str]) -> Dat
         rows.withColumn("carried", F.lit(False))
         .unionByName(carry, allowMissingColumns=True)
         .withColumns({m: F.sum(m).over(within) for m in measures})
-        .where(~F.col("carried"))
+        .where("not carried")
         .drop("carried", "slice")
     )
 
 
-def first_at_or_after(probes: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds `next_ms` and `next_id`: the first target of the same key with t >= the probe's `t`.
+def first_at_or_after(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """For every probe the first target of the same key whose time is not before the probe's.
 
-    `probes` has the keys, `t`, `slice_ms` and payload columns; `targets` has the keys, `t`,
-    `event_id`, `slice_ms`.
+    `rows` has the keys, `t`, `slice_ms`, and either `target` (struct ms, id; ms = t) or `probe` (any
+    struct), the other being null.  The result has the keys, `slice_ms`, the fields of `probe`,
+    `next_ms` and `next_id`.
     """
-    payload = [c for c in probes.columns if c not in (*keys, "t", "slice_ms")]
-    found = F.struct(F.col("t").alias("ms"), F.col("event_id").alias("id"))
-    at = targets.select(*keys, "t", "slice_ms", slice_of(F.col("t")).alias("slice"), found.alias("target"))
-    ask = probes.select(*keys, "t", "slice_ms", slice_of(F.col("t")).alias("slice"), F.struct(*payload).alias("probe"))
-    # Of a hot key every non-empty slice, of probes or targets, learns the first target of a later slice.
+    rows = rows.withColumn("slice", F.expr(SLICE))
+    # Of a hot key every non-empty slice learns the first target of a later slice.
     later = Window.partitionBy(*keys).orderBy(F.col("slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        at.select(*keys, "slice_ms", "slice", "target")
-        .unionByName(ask.select(*keys, "slice_ms", "slice"), allowMissingColumns=True)
-        .where(F.col("slice_ms").isNotNull())
+        rows.where("slice_ms is not null")
         .groupBy(*keys, "slice")
         .agg(F.min("target").alias("target"))
         .select(*keys, "slice", F.min("target").over(later).alias("target"))
-        .where(F.col("target").isNotNull())
+        .where("target is not null")
         .withColumn("t", F.col("target.ms"))
     )
     # Descending time with a frame that only grows: each row costs constant work.
     onwards = Window.partitionBy(*keys, "slice").orderBy(F.col("t").desc()).rangeBetween(Window.unboundedPreceding, 0)
     return (
-        ask.unionByName(at, allowMissingColumns=True)
-        .unionByName(carry, allowMissingColumns=True)
+        rows.unionByName(carry, allowMissingColumns=True)
         .withColumn("first", F.min("target").over(onwards))
-        .where(F.col("probe").isNotNull())
-        .select(*keys, "t", "slice_ms", "probe.*", F.col("first.ms").alias("next_ms"),
-                F.col("first.id").alias("next_id"))
+        .where("probe is not null")
+        .selectExpr(*keys, "slice_ms", "probe.*", "first.ms as next_ms", "first.id as next_id")
     )

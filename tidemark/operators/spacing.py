@@ -11,24 +11,25 @@ from tidemark.session import ensure_checkpoint_dir
 FOLD_ROWS = 200_000
 
 
-def keep_spaced(rows: DataFrame, keys: list[str], gap_ms: int, may_be_hot: bool = True,
-                fold_rows: int = FOLD_ROWS) -> DataFrame:
+def keep_spaced(rows: DataFrame, keys: list[str], gap_ms: int, fold_rows: int = FOLD_ROWS,
+                largest: int | None = None) -> DataFrame:
     """Rows kept by the greedy rule, ordered by (event_ts_ms, event_id) within each key.
 
     The comparison is with the last kept row, not with the previous one, so a lag cannot express it.
-    Keys with up to `fold_rows` rows use a built-in array aggregate.  With `may_be_hot` the rows are
-    first cut from their lineage and larger keys, if there are any, are followed by pointer doubling,
-    which never gathers a key.  Callers that know no key can be that large pass False and stay lazy.
+    Keys with up to `fold_rows` rows use a built-in array aggregate; a caller that knows `largest`, a
+    bound on the rows of a key, to be within that gets this lazy plan.  Otherwise the rows are first
+    cut from their lineage and larger keys, if there are any, are followed by pointer doubling,
+    which never gathers a key.
     """
-    if not may_be_hot:
+    if largest is not None and largest <= fold_rows:
         return _fold(rows, keys, gap_ms)
     ensure_checkpoint_dir(rows.sparkSession)
     rows = rows.checkpoint()
     if hot_keys(rows, keys, "event_ts_ms", fold_rows).isEmpty():
         return _fold(rows, keys, gap_ms)
     marked = mark_hot(rows, keys, "event_ts_ms", fold_rows)
-    small = _fold(marked.where(F.col("slice_ms").isNull()).drop("slice_ms"), keys, gap_ms)
-    large = _follow(marked.where(F.col("slice_ms").isNotNull()), keys, gap_ms)
+    small = _fold(marked.where("slice_ms is null").drop("slice_ms"), keys, gap_ms)
+    large = _follow(marked.where("slice_ms is not null"), keys, gap_ms)
     return small.unionByName(large)
 
 
@@ -59,10 +60,15 @@ def _follow(rows: DataFrame, keys: list[str], gap_ms: int) -> DataFrame:
     takes nine rounds.  Each round is a join on (key, moment) and is checkpointed.
     """
     moments = rows.groupBy(*keys, "event_ts_ms", "slice_ms").agg(F.min("event_id").alias("event_id"))
-    targets = moments.select(*keys, F.col("event_ts_ms").alias("t"), "event_id", "slice_ms")
-    probes = moments.select(*keys, (F.col("event_ts_ms") + gap_ms).alias("t"), "slice_ms", "event_ts_ms")
+    target, probe = "struct(event_ts_ms as ms, event_id as id)", "struct(event_ts_ms)"
+    rows_of_moment = moments.selectExpr(
+        *keys, "slice_ms",
+        f"""inline(array(
+            named_struct('t', event_ts_ms, 'target', {target}, 'probe', if(false, {probe}, null)),
+            named_struct('t', event_ts_ms + {gap_ms}, 'target', if(false, {target}, null), 'probe', {probe})))""",
+    )
     jumps = (
-        first_at_or_after(probes, targets, keys)
+        first_at_or_after(rows_of_moment, keys)
         .where(F.col("next_ms").isNotNull())
         .select(*keys, "event_ts_ms", "next_ms")
         .checkpoint()

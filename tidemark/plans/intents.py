@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.scoring import base_or_default, composite_score, pattern_boost
 from tidemark.operators import rolling
 from tidemark.operators.sessions import home_session_triggers
-from tidemark.operators.slices import hot_keys
+from tidemark.operators.slices import busiest
 from tidemark.operators.spacing import FOLD_ROWS, keep_spaced
 from tidemark.schemas import (
     DAY_MS,
@@ -23,45 +23,44 @@ CANDIDATE_COLUMNS = [
 ]
 
 
-def _candidate(condition: Column, product: str, metric: Column) -> Column:
-    return F.when(condition, F.struct(
-        F.lit(product).alias("product"), F.lit(PATTERN_NAMES[product]).alias("pattern_name"),
-        metric.cast("double").alias("pattern_metric"),
-    ))
-
-
 def rolling_signals(features: DataFrame) -> DataFrame:
     """Signals that follow from the trailing windows; raised at every event while they hold."""
-    c = F.col
-    found = F.array_compact(F.array(
-        _candidate((c("retail_24h") >= RETAIL_BURST_COUNT) & (c("card_7d") == 0), "credit_card", c("retail_24h")),
-        _candidate((c("lifestyle_7d") > 0) & (c("salary_7d") > 0), "personal_loan", c("lifestyle_7d")),
-        _candidate(c("quiet_credit") > 0, "fixed_deposit", F.lit(1.0)),
-    ))
-    return features.select("customer_id", "event_ts_ms", "event_id", F.inline(found)).withColumn(
-        "session_window_ms", F.lit(None).cast("bigint")
+    def signal(condition: str, product: str, metric: str) -> str:
+        return (f"if({condition}, named_struct('product', '{product}', 'pattern_name', '{PATTERN_NAMES[product]}', "
+                f"'pattern_metric', double({metric})), null)")
+
+    found = ", ".join([
+        signal(f"retail_24h >= {RETAIL_BURST_COUNT} and card_7d = 0", "credit_card", "retail_24h"),
+        signal("lifestyle_7d > 0 and salary_7d > 0", "personal_loan", "lifestyle_7d"),
+        signal("quiet_credit > 0", "fixed_deposit", "1"),
+    ])
+    return features.selectExpr(
+        "customer_id", "event_ts_ms", "event_id", f"inline(array_compact(array({found})))",
+        "cast(null as bigint) as session_window_ms",
     )
 
 
-def intent_signals(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
+def intent_signals(events: DataFrame, quiet_ms: int = QUIET_MS, largest: int | None = None) -> DataFrame:
     """All signals, before repeats are removed.  Events need unique `event_id` values per customer."""
-    home = home_session_triggers(events).select(
-        "customer_id", "event_ts_ms", "event_id", F.lit("home_loan").alias("product"),
-        F.lit(PATTERN_NAMES["home_loan"]).alias("pattern_name"), F.col("spend").alias("pattern_metric"),
-        "session_window_ms",
+    largest = busiest(events, ["customer_id"]) if largest is None else largest
+    home = home_session_triggers(events, largest=largest).selectExpr(
+        "customer_id", "event_ts_ms", "event_id", "'home_loan' as product",
+        f"'{PATTERN_NAMES['home_loan']}' as pattern_name", "spend as pattern_metric", "session_window_ms",
     )
-    features = rolling.rolling_features(rolling.with_hot(events), quiet_ms)
+    features = rolling.rolling_features(rolling.with_hot(events, largest=largest), quiet_ms)
     return rolling_signals(features).unionByName(home).select(*CANDIDATE_COLUMNS)
 
 
-def kept_intents(events: DataFrame, quiet_ms: int = QUIET_MS, fold_rows: int = FOLD_ROWS) -> DataFrame:
+def kept_intents(events: DataFrame, quiet_ms: int = QUIET_MS, largest: int | None = None,
+                 fold_rows: int = FOLD_ROWS) -> DataFrame:
     """Signals at least a day after the last kept one of the same customer and product.
 
-    A customer cannot have more signals of a product than events, so one cheap count of events tells
-    whether any key can be large.
+    A customer cannot have more signals of a product than events, so the event count of the busiest
+    customer bounds the size of every key.
     """
-    may_be_hot = not hot_keys(events, ["customer_id"], "event_ts_ms", fold_rows).isEmpty()
-    return keep_spaced(intent_signals(events, quiet_ms), ["customer_id", "product"], DAY_MS, may_be_hot, fold_rows)
+    largest = busiest(events, ["customer_id"]) if largest is None else largest
+    signals = intent_signals(events, quiet_ms, largest)
+    return keep_spaced(signals, ["customer_id", "product"], DAY_MS, fold_rows, largest)
 
 
 def enrich(intents: DataFrame, scores: DataFrame) -> DataFrame:
@@ -78,20 +77,19 @@ def enrich(intents: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def category_spend_of(intents: DataFrame, events: DataFrame) -> DataFrame:
-    """Spend per category of the week up to each intent's event, one row per category."""
+def category_spend_of(intents: DataFrame, events: DataFrame, largest: int | None = None) -> DataFrame:
+    """Spend per category of the week up to each intent's event, one row per event and category."""
     asked = intents.select("customer_id", "event_id", "event_ts_ms").distinct()
-    return rolling.category_spend(asked, rolling.with_hot(events))
+    spend = rolling.category_spend(asked, rolling.with_hot(events, largest=largest))
+    return spend.where("n > 0").select("customer_id", "event_id", "merchant_category", "spend")
 
 
-def with_category_spend(intents: DataFrame, events: DataFrame) -> DataFrame:
-    pairs = F.sort_array(F.collect_list(F.struct("merchant_category", "spend")))
-    spend = (
-        category_spend_of(intents, events)
-        .groupBy("customer_id", "event_id")
-        .agg(F.map_from_entries(pairs).alias("category_spend_7d"))
-    )
-    return intents.join(spend, ["customer_id", "event_id"], "left")
+def with_category_spend(intents: DataFrame, events: DataFrame, largest: int | None = None) -> DataFrame:
+    """Adds the category -> spend map.  The intents travel through as payload, so they are computed
+    once; each signal implies a transaction of its customer, so none is lost."""
+    spend = rolling.category_spend(intents, rolling.with_hot(events, largest=largest))
+    pairs = F.sort_array(F.collect_list(F.expr("if(n > 0, struct(merchant_category, spend), null)")))
+    return spend.groupBy(*intents.columns).agg(F.map_from_entries(pairs).alias("category_spend_7d"))
 
 
 def intent_key() -> Column:
@@ -122,8 +120,9 @@ def assemble(enriched: DataFrame) -> DataFrame:
 
 def intent_events(events: DataFrame, scores: DataFrame) -> DataFrame:
     """Stored intents of a batch of events in event-time order, where nothing is late."""
-    enriched = enrich(kept_intents(events), scores)
-    return assemble(with_category_spend(enriched, events).withColumn("is_late", F.lit(False)))
+    largest = busiest(events, ["customer_id"])
+    kept = with_category_spend(kept_intents(events, largest=largest), events, largest)
+    return assemble(enrich(kept, scores).withColumn("is_late", F.lit(False)))
 
 
 def realtime_offers(intents: DataFrame) -> DataFrame:

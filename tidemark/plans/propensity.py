@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.scoring import bonus_terms, campaign_segment, propensity_score, weighted_terms
+from tidemark.functions.scoring import campaign_segment, normalized_terms, propensity_score
 from tidemark.operators import features as ft
 from tidemark.operators.ranking import top_n_per_group
 from tidemark.schemas import CAMPAIGN_THRESHOLD, CAMPAIGN_TOP_N
@@ -34,8 +34,7 @@ def propensity_inputs(tables: BatchTables, as_of: date) -> DataFrame:
 
 def normalized_signals(inputs: DataFrame, weights: DataFrame) -> DataFrame:
     """Inputs plus the normalised terms and the weights.  `weights` holds one row per product."""
-    terms = [(name, column) for name, column, _ in weighted_terms()] + bonus_terms()
-    return inputs.join(F.broadcast(weights), "product_family").withColumns(dict(terms))
+    return inputs.join(F.broadcast(weights), "product_family").selectExpr("*", *normalized_terms())
 
 
 def propensity_scores(inputs: DataFrame, weights: DataFrame, as_of: date | None = None) -> DataFrame:

@@ -16,6 +16,12 @@ RUNTIME_CONF = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
+# Settings fixed when the session is built.
+STATIC_CONF = {
+    # Python call sites in error messages cost several round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -34,7 +40,7 @@ def build_session(master: str | None = None, app: str = "tidemark", **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **STREAM_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **STATIC_CONF, **STREAM_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
