@@ -90,12 +90,12 @@ def category_spend(intents: DataFrame, events: DataFrame) -> DataFrame:
     keys = ["customer_id", "merchant_category"]
     txns = events.where("kind = 'txn'").selectExpr(
         "customer_id", "coalesce(merchant_category, 'unknown') as merchant_category", "slice_ms", "event_ts_ms",
-        "event_id", "cast(amount as decimal(18,2)) as amount",
+        "event_id", "bigint(cast(amount as decimal(18,2)) * 100) as cents",
     )
 
     def move(t: str, step: int, sign: str, n: int) -> str:
         return (f"named_struct('t', {t}, 'step', {step}, 'event_id', event_id, 'seq', 1, "
-                f"'spend', cast({sign}amount as decimal(18,2)), 'n', {n})")
+                f"'cents', {sign}cents, 'n', {n})")
 
     moves = txns.selectExpr(
         *keys, "slice_ms",
@@ -105,9 +105,9 @@ def category_spend(intents: DataFrame, events: DataFrame) -> DataFrame:
     payload = [c for c in intents.columns if c != "customer_id"]
     probes = intents.join(used, "customer_id").selectExpr(
         *keys, "slice_ms", "event_ts_ms as t", "1 as step", "event_id", "2 as seq",
-        "cast(0 as decimal(18,2)) as spend", "0 as n", f"struct({', '.join(payload)}) as intent",
+        "0L as cents", "0 as n", f"struct({', '.join(payload)}) as intent",
     )
-    totals = running_totals(moves.unionByName(probes, allowMissingColumns=True), keys, ["spend", "n"])
+    totals = running_totals(moves.unionByName(probes, allowMissingColumns=True), keys, ["cents", "n"])
     return totals.where("intent is not null").selectExpr(
-        "customer_id", "merchant_category", "double(spend) as spend", "n", "intent.*"
+        "customer_id", "merchant_category", "cents / 100 as spend", "n", "intent.*"
     )
