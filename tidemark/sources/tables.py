@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.parsing import iso_timestamp
 from tidemark.plans.propensity import BatchTables
@@ -20,9 +20,6 @@ BATCH_TABLES = {
     "campaign_history": CAMPAIGN_HISTORY,
 }
 
-# Columns of the survey file the loader uses.
-SURVEY = "age bigint, housing string, loan string, campaign bigint, y string"
-
 
 def batch_table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
@@ -63,13 +60,35 @@ def load_weights(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame(rows, WEIGHTS)
 
 
+def with_row_number(df: DataFrame) -> DataFrame:
+    """Adds a dense `row_number` from 0 in read order, without a global sort.
+
+    The generated id holds the partition and the position in it; only one row per partition is
+    needed to turn that into an offset.
+    """
+    marked = df.withColumn("_id", F.monotonically_increasing_id())
+    part, position = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        marked.groupBy(part.alias("_part")).count()
+        .select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
+    )
+    return (
+        marked.withColumn("_part", part)
+        .join(F.broadcast(offsets), "_part")
+        .withColumn("row_number", position + F.col("_offset"))
+        .drop("_id", "_part", "_offset")
+    )
+
+
 def read_survey(spark: SparkSession, path: str) -> DataFrame:
     """Bank survey file (`;` separated) with its yes/no answers turned into flags."""
     def yes(c: str):
         return F.when(F.col(c) == "yes", 1).otherwise(0)
 
-    raw = spark.read.csv(path, sep=";", header=True)
+    raw = with_row_number(spark.read.csv(path, sep=";", header=True))
     return raw.select(
+        F.format_string("cust_%06d", F.col("row_number")).alias("customer_id"),
         F.col("age").cast("bigint").alias("age"),
         yes("housing").alias("has_home_loan"),
         F.lit(0).alias("has_credit_card"),

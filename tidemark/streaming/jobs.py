@@ -73,6 +73,9 @@ def start_intents(transactions: DataFrame, product_events: DataFrame, scores: Da
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            # finding a batch empty evaluates every partition, so the state is committed all the same
+            if batch.isEmpty():
+                return
             intents = stored_intents(batch)
             sinks.write_batch(intents, f"{out}/intents", batch_id)
             sinks.write_batch(late_events(batch), f"{out}/late", batch_id)
