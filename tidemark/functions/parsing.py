@@ -12,82 +12,76 @@ ISO_PATTERN = (
 )
 
 
+def _instant(text: Column) -> Column:
+    return F.when(text.rlike(ISO_PATTERN), F.try_to_timestamp(text))
+
+
 def iso_timestamp(text: Column) -> Column:
     """Instant of an ISO-8601 string, UTC when it carries no offset; null when blank, bad or the epoch."""
-    parsed = F.when(text.rlike(ISO_PATTERN), F.try_to_timestamp(text))
-    return F.when(F.unix_millis(parsed) != 0, parsed)
+    return F.when(F.unix_millis(_instant(text)) != 0, _instant(text))
+
+
+def _once(value: Column) -> Column:
+    """Keeps an expensive value from being evaluated again by every filter that uses it: predicates
+    are pushed through a projection, copying its expressions, but not through a generator."""
+    return F.explode(F.array(value))
 
 
-def _field(message: Column, name: str, default: str) -> Column:
+def _field(name: str, default: str) -> Column:
     # the default replaces a missing key only; an explicit null stays null
-    return F.when(F.map_contains_key(message, name), message[name]).otherwise(F.lit(default))
+    return F.when(F.map_contains_key("m", name), F.col("m")[name]).otherwise(F.lit(default))
 
 
-def _flag(message: Column, name: str) -> Column:
-    return F.coalesce(message[name].try_cast("double").cast("int"), F.lit(0))
+def _flag(name: str) -> Column:
+    return F.coalesce(F.col("m")[name].try_cast("double").cast("int"), F.lit(0)).alias(name)
 
 
-def _decode(raw: DataFrame, keep: list[str]) -> DataFrame:
-    message = F.from_json("value", "map<string,string>")
+def _decode(raw: DataFrame, keep: list[str], kind: str, fields: list[Column]) -> DataFrame:
+    """Message fields as columns; rows that are not an object with a usable time are dropped."""
+    row = F.struct(
+        _field("customer_id", "").alias("customer_id"),
+        F.lit(kind).alias("kind"),
+        _instant(F.col("m")["event_ts"]).alias("event_ts"),
+        *fields,
+    )
     return (
-        raw.select(*keep, message.alias("m"))
-        .where(F.col("m").isNotNull())
-        .withColumn("customer_id", _field(F.col("m"), "customer_id", ""))
-        .withColumn("event_ts", iso_timestamp(F.col("m")["event_ts"]))
-        .where(F.col("event_ts").isNotNull())
+        raw.select(*keep, _once(F.from_json("value", "map<string,string>")).alias("m"))
+        .where("m is not null")
+        .select(*keep, _once(row).alias("r"))
+        .select(*keep, "r.*", F.unix_millis("r.event_ts").alias("event_ts_ms"))
+        .where("event_ts_ms != 0")
     )
 
 
 def parse_transactions(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Decode transaction messages in column `value`; undecodable rows are dropped."""
-    keep = keep or []
-    m = F.col("m")
-    return (
-        _decode(raw, keep)
-        .withColumn("amount", _field(m, "amount", "0").try_cast("double"))
-        .where(F.col("amount").isNotNull())
-        .select(
-            *keep,
-            "customer_id",
-            F.lit("txn").alias("kind"),
-            "event_ts",
-            F.unix_millis("event_ts").alias("event_ts_ms"),
-            _field(m, "merchant_category", "unknown").alias("merchant_category"),
-            _field(m, "transaction_type", "debit").alias("transaction_type"),
-            "amount",
-            _flag(m, "has_credit_card").alias("has_credit_card"),
-            _flag(m, "has_fixed_deposit").alias("has_fixed_deposit"),
-        )
-    )
+    return _decode(raw, keep or [], "txn", [
+        _field("merchant_category", "unknown").alias("merchant_category"),
+        _field("transaction_type", "debit").alias("transaction_type"),
+        _field("amount", "0").try_cast("double").alias("amount"),
+        _flag("has_credit_card"),
+        _flag("has_fixed_deposit"),
+    ]).where("amount is not null")
 
 
 def parse_product_events(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    keep = keep or []
-    m = F.col("m")
-    return _decode(raw, keep).select(
-        *keep,
-        "customer_id",
-        F.lit("product").alias("kind"),
-        "event_ts",
-        F.unix_millis("event_ts").alias("event_ts_ms"),
-        _field(m, "event_type", "page_view").alias("event_type"),
-        _field(m, "product", "unknown").alias("product"),
-    )
+    return _decode(raw, keep or [], "product", [
+        _field("event_type", "page_view").alias("event_type"),
+        _field("product", "unknown").alias("product"),
+    ])
 
 
 def parse_scores(raw: DataFrame) -> DataFrame:
     """Decode score snapshots; a row needs a customer and, where `scores` is given, an object."""
-    m = F.from_json("value", "map<string,string>")
-    text = F.when(F.map_contains_key("m", "scores"), F.col("m")["scores"]).otherwise(F.lit("{}"))
-    scores = F.when(F.ltrim(text).startswith("{"), F.from_json(text, "map<string,double>"))
+    text = _field("scores", "{}")
     return (
-        raw.select(m.alias("m"))
+        raw.select(_once(F.from_json("value", "map<string,string>")).alias("m"))
         .select(
             F.col("m")["customer_id"].alias("customer_id"),
-            scores.alias("scores"),
+            _once(F.when(F.ltrim(text).startswith("{"), F.from_json(text, "map<string,double>"))).alias("scores"),
             F.col("m")["score_ts"].alias("score_ts"),
         )
-        .where((F.col("customer_id") != "") & F.col("scores").isNotNull())
+        .where("customer_id != '' and scores is not null")
     )
 
 
@@ -111,7 +105,9 @@ def holdings_from_json(demographics: DataFrame) -> DataFrame:
 def flatten_offers(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One column per offer field plus the whole message; windows the sender never fills stay null."""
     keep = keep or []
-    offer = raw.select(*keep, F.from_json("value", OFFER_MESSAGE).alias("o"), F.col("value").alias("payload"))
+    offer = raw.select(
+        *keep, _once(F.from_json("value", OFFER_MESSAGE)).alias("o"), F.col("value").alias("payload")
+    )
     return offer.where(F.col("o").isNotNull()).select(
         *keep,
         *[F.col(f"o.{c}") for c in
