@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.operators.slices import SLICE, mark_hot
 from tidemark.schemas import HOME_CATEGORIES, HOME_SESSION_LIMIT, WEEK_MS
 
-FOLD_ROWS = 20_000
+FOLD_ROWS = 10_000
 LIMIT_CENTS = HOME_SESSION_LIMIT * 100
 
 TRIGGER = "event_ts_ms bigint, event_id bigint, spend_cents bigint, session_window_ms bigint"
