@@ -57,7 +57,7 @@ def test_signals_and_kept_intents(spark, seed, tick, span, hot, monkeypatch):
     if hot:
         # every customer counts as hot and is cut into slices of a few rows
         monkeypatch.setattr(rolling.with_hot, "__defaults__", (20, None))
-        monkeypatch.setattr(sessions.home_session_triggers, "__defaults__", (5, None))
+        monkeypatch.setattr(sessions.home_session_triggers, "__defaults__", (5, 4, None))
     largest = 10**9 if hot else None
     got = intents.intent_signals(df, largest=largest)
     assert signal_rows(got) == in_order(signals)
@@ -133,7 +133,7 @@ def test_large_sessions_equal_folded_sessions(spark, seed):
         events.append(event(i, "hot" if i % 10 else "other", ms, "furniture", amount))
     df = frame(spark, events)
     plain = sessions.home_session_triggers(df, largest=1500)
-    cut = sessions.home_session_triggers(df, fold_rows=64)
+    cut = sessions.home_session_triggers(df, fold_rows=64, slice_rows=7)
     want = sorted((c, m, i, spend, length) for c, p, m, i, spend, length in naive.run(events)[0] if p == "home_loan")
     for got in (plain, cut):
         assert sorted((r.customer_id, r.event_ts_ms, r.event_id, r.spend, r.session_window_ms)

@@ -16,6 +16,8 @@ def test_batch_tables_round_trip_through_files(spark, tmp_path):
                      ("campaign_history", sample.campaign),
                      ("transactions", sample.transactions.withColumn("amount", F.col("amount").cast("double")))):
         df.write.parquet(tables.batch_table_path(str(tmp_path), name))
+    assert tables.missing_batch_tables(spark, str(tmp_path)) == []
+    assert tables.missing_batch_tables(spark, f"{tmp_path}/nowhere") == list(tables.BATCH_TABLES)
     day = date(1998, 6, 30)
     loaded = propensity.propensity_inputs(tables.load_batch_tables(spark, str(tmp_path)), day)
     assert sorted(map(str, loaded.collect())) == sorted(map(str, propensity.propensity_inputs(sample, day).collect()))
@@ -114,6 +116,8 @@ def test_tables_exports_and_snapshots(spark, tmp_path):
     inputs = propensity.propensity_inputs(sample, day)
     scores = sinks.materialise(propensity.propensity_scores(inputs, tables.load_weights(spark), day), "scores_test")
     assert scores.count() == inputs.count()
+    top = reports.ranked_scores(scores).head(2)
+    assert top[0].propensity_score >= top[1].propensity_score
     listed = reports.campaign_candidates(scores, inputs, "home_loan", 60)
     sinks.export_csv(reports.export_list(listed), f"{tmp_path}/list")
     exported = spark.read.csv(f"{tmp_path}/list", header=True)

@@ -32,12 +32,11 @@ def quiet_credits(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
     exactly at the end of the quiet period is kept too: the credit counts as quiet until it arrives.
     """
     probe = "named_struct('credit_ms', event_ts_ms, 'event_id', event_id)"
+    at = f"named_struct('t', event_ts_ms, 'target', {TARGET}, 'probe', if(false, {probe}, null))"
+    ask = f"named_struct('t', event_ts_ms + 1, 'target', if(false, {TARGET}, null), 'probe', {probe})"
+    is_large = f"{IS_SALARY} and amount >= {LARGE_CREDIT_AMOUNT}"
     rows = events.where("kind = 'txn'").selectExpr(
-        "customer_id", "slice_ms",
-        f"""inline(array_compact(array(
-            named_struct('t', event_ts_ms, 'target', {TARGET}, 'probe', if(false, {probe}, null)),
-            if({IS_SALARY} and amount >= {LARGE_CREDIT_AMOUNT},
-               named_struct('t', event_ts_ms + 1, 'target', if(false, {TARGET}, null), 'probe', {probe}), null))))""",
+        "customer_id", "slice_ms", f"inline(if({is_large}, array({at}, {ask}), array({at})))"
     )
     found = first_at_or_after(rows, ["customer_id"])
     return found.where(f"next_ms is null or next_ms >= credit_ms + {quiet_ms}")
@@ -66,7 +65,11 @@ def rolling_features(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
     after_week = _mark(f"event_ts_ms + {WEEK_MS + 1}", 0, "event_id", 0, card_7d="-c", salary_7d="-s", lifestyle_7d="-l")
     rows = marked.selectExpr(
         "customer_id", "slice_ms",
-        f"inline(array_compact(array({at_event}, if(r > 0, {after_day}, null), if(c + s + l > 0, {after_week}, null))))",
+        # one array per case: dropping nulls from a common array would need an interpreted lambda
+        f"""inline(case when r > 0 and c + s + l > 0 then array({at_event}, {after_day}, {after_week})
+                        when r > 0 then array({at_event}, {after_day})
+                        when c + s + l > 0 then array({at_event}, {after_week})
+                        else array({at_event}) end)""",
     )
     opens = _mark(f"credit_ms + {quiet_ms}", 0, "event_id", 0, quiet_credit="1")
     lapses = _mark(f"credit_ms + {WEEK_MS + 1}", 0, "event_id", 0, quiet_credit="-1")

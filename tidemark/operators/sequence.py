@@ -26,7 +26,7 @@ def sequence_alerts(events: DataFrame, first: Column, second: Column, within_ms:
         F.struct(F.col("event_ts_ms").alias("ms"), F.col("event_id").alias("id")).alias("target"),
         F.lit(None).cast(PROBE).alias("probe"),
     ))
-    rows = events.select("customer_id", "slice_ms", F.inline(F.array_compact(F.array(opens, closes))))
+    rows = events.select("customer_id", "slice_ms", F.inline(F.array(opens, closes))).where("t is not null")
     return (
         first_at_or_after(rows, ["customer_id"])
         .where(F.col("next_ms") <= F.col("first_ts_ms") + within_ms)

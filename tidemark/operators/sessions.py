@@ -19,6 +19,7 @@ from tidemark.operators.slices import SLICE, mark_hot
 from tidemark.schemas import HOME_CATEGORIES, HOME_SESSION_LIMIT, WEEK_MS
 
 FOLD_ROWS = 10_000
+SLICE_ROWS = 100_000
 LIMIT_CENTS = HOME_SESSION_LIMIT * 100
 
 TRIGGER = "event_ts_ms bigint, event_id bigint, spend_cents bigint, session_window_ms bigint"
@@ -31,7 +32,8 @@ def home_transactions(events: DataFrame) -> DataFrame:
     )
 
 
-def home_session_triggers(events: DataFrame, fold_rows: int = FOLD_ROWS, largest: int | None = None) -> DataFrame:
+def home_session_triggers(events: DataFrame, fold_rows: int = FOLD_ROWS, slice_rows: int = SLICE_ROWS,
+                          largest: int | None = None) -> DataFrame:
     """Events at which a customer's session passes the limit, with the spend and the session length.
 
     `largest` is the number of events of the busiest customer where the caller knows it.
@@ -40,7 +42,7 @@ def home_session_triggers(events: DataFrame, fold_rows: int = FOLD_ROWS, largest
     if largest is not None and largest <= fold_rows:
         fired = _fold(home)
     else:
-        marked = mark_hot(home, ["customer_id"], "event_ts_ms", fold_rows)
+        marked = mark_hot(home, ["customer_id"], "event_ts_ms", fold_rows, slice_rows=slice_rows)
         fired = _fold(marked.where("slice_ms is null")).unionByName(
             _replay_slices(marked.where("slice_ms is not null"))
         )

@@ -25,13 +25,15 @@ def busiest(df: DataFrame, keys: list[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
-def hot_keys(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS,
+             slice_rows: int | None = None) -> DataFrame:
     """Keys with more than `hot_rows` rows and the slice length that suits their own row rate.
 
-    There are at most rows / hot_rows such keys.  A slice holds hot_rows / 16 rows on average, which
-    leaves room for bursts.
+    There are at most rows / hot_rows such keys.  A slice holds `slice_rows` rows on average, a
+    sixteenth of `hot_rows` unless told otherwise, which leaves room for bursts.
     """
-    length = f"bigint(greatest(1, floor((max({t}) - min({t}) + 1) * ({hot_rows} / 16) / count(*))))"
+    rows = slice_rows or hot_rows / 16
+    length = f"bigint(greatest(1, floor((max({t}) - min({t}) + 1) * {rows} / count(*))))"
     return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_n"), F.expr(length).alias("slice_ms"))
@@ -40,7 +42,8 @@ def hot_keys(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS) -
     )
 
 
-def mark_hot(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
+def mark_hot(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS, largest: int | None = None,
+             slice_rows: int | None = None) -> DataFrame:
     """Adds `slice_ms`, null for all but hot keys.
 
     With `largest` known to be within `hot_rows` there is nothing to find, the column is a constant
@@ -49,7 +52,7 @@ def mark_hot(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS, l
     """
     if largest is not None and largest <= hot_rows:
         return df.withColumn("slice_ms", F.lit(None).cast("bigint"))
-    return df.join(F.broadcast(hot_keys(df, keys, t, hot_rows)), keys, "left")
+    return df.join(F.broadcast(hot_keys(df, keys, t, hot_rows, slice_rows)), keys, "left")
 
 
 def running_totals(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:

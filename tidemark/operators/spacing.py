@@ -9,6 +9,7 @@ from tidemark.operators.slices import first_at_or_after, hot_keys, mark_hot
 from tidemark.session import ensure_checkpoint_dir
 
 FOLD_ROWS = 200_000
+SLICE_ROWS = 100_000
 
 
 def keep_spaced(rows: DataFrame, keys: list[str], gap_ms: int, fold_rows: int = FOLD_ROWS,
@@ -27,7 +28,7 @@ def keep_spaced(rows: DataFrame, keys: list[str], gap_ms: int, fold_rows: int =
     rows = rows.checkpoint()
     if hot_keys(rows, keys, "event_ts_ms", fold_rows).isEmpty():
         return _fold(rows, keys, gap_ms)
-    marked = mark_hot(rows, keys, "event_ts_ms", fold_rows)
+    marked = mark_hot(rows, keys, "event_ts_ms", fold_rows, slice_rows=min(fold_rows, SLICE_ROWS))
     small = _fold(marked.where("slice_ms is null").drop("slice_ms"), keys, gap_ms)
     large = _follow(marked.where("slice_ms is not null"), keys, gap_ms)
     return small.unionByName(large)

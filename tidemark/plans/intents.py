@@ -25,18 +25,21 @@ CANDIDATE_COLUMNS = [
 
 def rolling_signals(features: DataFrame) -> DataFrame:
     """Signals that follow from the trailing windows; raised at every event while they hold."""
-    def signal(condition: str, product: str, metric: str) -> str:
-        return (f"if({condition}, named_struct('product', '{product}', 'pattern_name', '{PATTERN_NAMES[product]}', "
-                f"'pattern_metric', double({metric})), null)")
-
-    found = ", ".join([
-        signal(f"retail_24h >= {RETAIL_BURST_COUNT} and card_7d = 0", "credit_card", "retail_24h"),
-        signal("lifestyle_7d > 0 and salary_7d > 0", "personal_loan", "lifestyle_7d"),
-        signal("quiet_credit > 0", "fixed_deposit", "1"),
-    ])
-    return features.selectExpr(
-        "customer_id", "event_ts_ms", "event_id", f"inline(array_compact(array({found})))",
-        "cast(null as bigint) as session_window_ms",
+    rules = {
+        "credit_card": (f"retail_24h >= {RETAIL_BURST_COUNT} and card_7d = 0", "retail_24h"),
+        "personal_loan": ("lifestyle_7d > 0 and salary_7d > 0", "lifestyle_7d"),
+        "fixed_deposit": ("quiet_credit > 0", "1"),
+    }
+    found = ", ".join(
+        f"if({holds}, named_struct('product', '{product}', 'pattern_name', '{PATTERN_NAMES[product]}', "
+        f"'pattern_metric', double({metric})), null)"
+        for product, (holds, metric) in rules.items()
+    )
+    return (
+        features.where(" or ".join(f"({holds})" for holds, _ in rules.values()))
+        .selectExpr("customer_id", "event_ts_ms", "event_id", f"inline(array({found}))",
+                    "cast(null as bigint) as session_window_ms")
+        .where("product is not null")
     )
 
 

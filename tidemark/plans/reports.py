@@ -114,6 +114,11 @@ def weekly_change(counts: DataFrame) -> DataFrame:
     )
 
 
+def ranked_scores(scores: DataFrame) -> DataFrame:
+    """The score table, highest first; the stored table itself carries no order."""
+    return scores.orderBy(F.col("propensity_score").desc(), "customer_id", "product_family")
+
+
 def campaign_candidates(scores: DataFrame, inputs: DataFrame, product: str, min_score: float,
                         region: str = "All", band: str = "All", limit: int = 700,
                         regions: DataFrame | None = None) -> DataFrame:

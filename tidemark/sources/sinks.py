@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from tidemark.sources.tables import path_exists
 
 FEED_KEY = ["window_end_ms", "customer_id", "merchant_category"]
 
@@ -36,18 +38,13 @@ def insert_new(df: DataFrame, path: str, key: str = "event_id", by: str = "event
     """
     spark = df.sparkSession
     fresh = df.dropDuplicates([key])
-    if _exists(spark, path):
+    if path_exists(spark, path):
         touched = fresh.select(by).distinct()
         known = spark.read.parquet(path).join(F.broadcast(touched), by, "left_semi").select(key)
         fresh = fresh.join(known, key, "left_anti")
     fresh.write.mode("append").partitionBy(by).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def latest_by_key(log: DataFrame, keys: list[str] = FEED_KEY, version: str = "batch_id") -> DataFrame:
     """Current row per key of an append log: an upsert resolved on read, as a max over structs."""
     rest = [c for c in log.columns if c not in (*keys, version)]

@@ -25,6 +25,16 @@ def batch_table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def missing_batch_tables(spark: SparkSession, base: str) -> list[str]:
+    """Input tables that are not there; what is there is checked by `quality.check_inputs`."""
+    return [name for name in BATCH_TABLES if not path_exists(spark, batch_table_path(base, name))]
+
+
 def load_batch_tables(spark: SparkSession, base: str) -> BatchTables:
     """The four input tables of the scoring job, with declared schemas."""
     t = {n: spark.read.schema(s).parquet(batch_table_path(base, n)) for n, s in BATCH_TABLES.items()}

@@ -7,7 +7,6 @@ from collections.abc import Iterator
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.schemas import WEEK_MS
 from tidemark.streaming.behaviour import Behaviour, Session, Txn, may_keep
 
 DEDUP_TTL_MS = 30 * 24 * 3_600_000
@@ -51,8 +50,7 @@ class IntentProcessor(StatefulProcessor):
         base = {product: score for (product,), (score,) in self.scores.iterator()}
         session = Session(*self.session.get()) if self.session.exists() else None
         behaviour = Behaviour([Txn(*t) for t in self.txns.get()], session)
-        added = []
-        oldest = behaviour.times[0] if behaviour.times else None
+        held, added = len(behaviour.txns), []
         for row in sorted(events, key=lambda r: (r.event_ts_ms, r.kind, r.merchant_category or "", r.amount or 0)):
             ms = row.event_ts_ms
             is_late = 0 < watermark and ms < watermark
@@ -75,16 +73,16 @@ class IntentProcessor(StatefulProcessor):
                     session_window_ms=signal.session_ms, category_spend_7d=behaviour.category_spend(),
                     is_late=is_late,
                 )
-        self._save(behaviour, added, oldest, events)
+        self._save(behaviour, held, added)
 
     def _replace_scores(self, scores: dict[str, float]) -> None:
         self.scores.clear()
         for product, score in scores.items():
             self.scores.updateValue((product,), (score,))
 
-    def _save(self, behaviour: Behaviour, added: list[Txn], oldest: int | None, events: list) -> None:
-        newest = max(row.event_ts_ms for row in events)
-        if oldest is not None and oldest < newest - WEEK_MS:
+    def _save(self, behaviour: Behaviour, held: int, added: list[Txn]) -> None:
+        if len(behaviour.txns) < held + len(added):
+            # something left the week: write what remains, otherwise only what is new
             self.txns.put([tuple(t) for t in behaviour.txns])
         elif added:
             self.txns.appendList([tuple(t) for t in added])
