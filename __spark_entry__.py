@@ -449,9 +449,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return campaign_lists(configure(spark), "/root/testdata/sf0.001")
 
 
+# Whole numbers that may be missing.
+_OPTIONAL = {"age", "campaign_touch_count", "next_ms", "session_window_ms", "txn_10m", "txn_2h", "txn_24h"}
+
+
+def _portable(df: DataFrame) -> DataFrame:
+    """Dates leave as ISO text and optional whole numbers as doubles, which every client reads back alike."""
+    casts = {name: F.col(name).cast("string") for name, kind in df.dtypes if kind == "date"}
+    casts |= {name: F.col(name).cast("double") for name in df.columns if name in _OPTIONAL}
+    return df.withColumns(casts) if casts else df
+
+
 def queries() -> dict[str, Query]:
     def configured(query: Query) -> Query:
-        return lambda spark, sf_dir: query(configure(spark), sf_dir)
+        return lambda spark, sf_dir: _portable(query(configure(spark), sf_dir))
 
     return {name: configured(query) for name, query in _QUERIES.items()}
 

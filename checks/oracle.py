@@ -333,7 +333,7 @@ ORACLE: dict[str, str] = {
                CAST(amount AS DOUBLE) AS amount, merchant_name, channel FROM txn"""),
     "seed_weights": _with("holdings", "holdings_long", "weights", tail="""
         SELECT w.*, holders FROM weights w
-        JOIN (SELECT product_family, sum(has_product) AS holders FROM holdings_long GROUP BY 1) h
+        JOIN (SELECT product_family, CAST(sum(has_product) AS BIGINT) AS holders FROM holdings_long GROUP BY 1) h
           ON h.product_family = w.product_family"""),
     "parse_iso": """
         SELECT event_id, CASE event_id % 8 WHEN 2 THEN epoch_us(ts) // 1000 - 19800000
@@ -526,3 +526,31 @@ ORACLE["weekly_wow"] = _weekly.replace("{tail}", """
             CAST(coalesce(sum(high_propensity_count) FILTER (week_start = latest - 7), 0) AS BIGINT) AS previous_count
           FROM products p CROSS JOIN (SELECT max(week_start) AS latest FROM weekly)
           LEFT JOIN weekly w ON w.product_family = p.product_family GROUP BY p.product_family)""")
+
+# Dates are compared as ISO text, optional whole numbers as doubles.
+_TEXT = {
+    "txn_30d_filter": ["txn_dt"],
+    "txn_features": ["last_txn_date"],
+    "days_since_last_txn": ["last_txn_date"],
+    "weekly_propensity_counts": ["week_start"],
+    "weekly_offer_performance": ["week_start"],
+    "performance_grid": ["week_start"],
+    "conversion_series": ["week_start"],
+    "nightly_enrichment": ["as_of_date"],
+}
+_DOUBLE = {
+    "customer_base": ["age", "campaign_touch_count"],
+    "propensity_inputs": ["age", "campaign_touch_count"],
+    "age_bands": ["age"],
+    "large_credit_quiet": ["next_ms"],
+    "intent_signals": ["session_window_ms"],
+    "intent_dedup": ["session_window_ms"],
+    "intent_events": ["session_window_ms"],
+    "realtime_offers": ["session_window_ms"],
+    "offer_flatten": ["txn_10m", "txn_2h", "txn_24h"],
+    "home_session": ["session_window_ms"],
+}
+for _columns_of, _type in ((_TEXT, "VARCHAR"), (_DOUBLE, "DOUBLE")):
+    for _name, _columns in _columns_of.items():
+        _casts = ", ".join(f"CAST({c} AS {_type}) AS {c}" for c in _columns)
+        ORACLE[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLE[_name]})"
