@@ -444,6 +444,15 @@ _QUERIES: dict[str, Query] = {
 }
 
 
+try:
+    from tidemark.llm.oracle import ORACLE as _LLM_ORACLE
+    from tidemark.llm.queries import QUERIES as _LLM_QUERIES
+except ModuleNotFoundError as error:
+    if not str(error.name).startswith(("tidemark.llm", "corpus_pipeline")):
+        raise
+    _LLM_ORACLE, _LLM_QUERIES = {}, {}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Campaign lists from raw transactions, as one plan."""
     return campaign_lists(configure(spark), "/root/testdata/sf0.001")
@@ -464,8 +473,8 @@ def queries() -> dict[str, Query]:
     def configured(query: Query) -> Query:
         return lambda spark, sf_dir: _portable(query(configure(spark), sf_dir))
 
-    return {name: configured(query) for name, query in _QUERIES.items()}
+    return {name: configured(query) for name, query in {**_QUERIES, **_LLM_QUERIES}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **_LLM_ORACLE}
