@@ -54,6 +54,73 @@ SELECT doc_id, size, source_size, target,
 FROM run LEFT JOIN last ON run.source IS NOT DISTINCT FROM last.source
 """
 
+ORACLE["op7_urls"] = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM pages
+), p AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM u
+), g AS (
+  SELECT *, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x:
+              CASE WHEN regexp_matches(x, '[0-9]') THEN '*' || regexp_extract(x, '(\.[A-Za-z]{1,5})?$', 1) ELSE x END) AS seg
+  FROM p
+), m AS (
+  SELECT doc_id AS page_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1
+), c AS (
+  SELECT host, seg, coalesce(sum((good = 1)::INT), 0) AS good, coalesce(sum((good = 0)::INT), 0) AS bad
+  FROM g LEFT JOIN m USING (page_id) GROUP BY ALL
+), s AS (
+  SELECT c.*, unnest(range(1, len(seg) + 1)) AS i FROM c
+), k AS (
+  SELECT host, seg[1:i - 1] AS before, count(DISTINCT seg[i]) AS n FROM s GROUP BY ALL
+), w AS (
+  SELECT s.host, s.seg, s.good, s.bad, list(CASE WHEN k.n > 50 THEN '*' ELSE s.seg[i] END ORDER BY i) AS template
+  FROM s JOIN k ON s.host = k.host AND s.seg[1:i - 1] = k.before GROUP BY ALL
+  UNION ALL SELECT host, seg, good, bad, seg FROM c WHERE len(seg) = 0
+), b AS (
+  SELECT host, template, len(template) AS depth, template[1:greatest(len(template) - 1, 0)] AS above,
+         sum(good)::DOUBLE AS good, sum(bad)::DOUBLE AS bad
+  FROM w GROUP BY ALL
+), f AS (
+  SELECT *, sum(good) OVER fam AS all_good, sum(bad) OVER fam AS all_bad,
+         sum(good) OVER () AS t_good, sum(bad) OVER () AS t_bad
+  FROM b WINDOW fam AS (PARTITION BY host, depth, above)
+), z AS (
+  SELECT *, all_bad / nullif(all_good + all_bad, 0) AS pooled, good + bad AS n,
+         all_good + all_bad - good - bad AS others FROM f
+), j AS (
+  SELECT *, NOT coalesce(n > 0 AND others > 0 AND pooled > 0 AND pooled < 1 AND
+    abs(bad / nullif(n, 0) - (all_bad - bad) / nullif(others, 0))
+      / nullif(sqrt(pooled * (1 - pooled) * (1.0 / nullif(n, 0) + 1.0 / nullif(others, 0))), 0) >= 1.96, false) AS merged
+  FROM z
+), q AS (
+  SELECT *, CASE WHEN merged THEN sum(good) FILTER (merged) OVER fam ELSE good END AS g2,
+         CASE WHEN merged THEN sum(bad) FILTER (merged) OVER fam ELSE bad END AS b2
+  FROM j WINDOW fam AS (PARTITION BY host, depth, above)
+), v AS (
+  SELECT host, template,
+         (g2 + 10.0::DOUBLE * CASE WHEN t_good + t_bad > 0 THEN t_good / (t_good + t_bad) ELSE 1.0::DOUBLE END) / (g2 + b2 + 10.0::DOUBLE)
+           AS purity
+  FROM q
+)
+SELECT page_id, g.host, path,
+       CASE WHEN on_org AND starts_with(path, '/en/1') AND on_example THEN 'example.org/en/1'
+            WHEN on_example AND starts_with(path, '/es/') THEN 'example.org/es/'
+            WHEN on_org AND starts_with(path, '/') THEN 'org/'
+            WHEN on_com AND starts_with(path, '/fr/') THEN 'com/fr/'
+            WHEN on_com AND starts_with(path, '/de/') THEN 'com/de/' END AS rule,
+       CASE rule WHEN 'example.org/en/1' THEN 'block' WHEN 'example.org/es/' THEN 'block' WHEN 'org/' THEN 'allow'
+            WHEN 'com/fr/' THEN 'allow' WHEN 'com/de/' THEN 'block'
+            ELSE CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END END AS verdict,
+       array_to_string(w.template, '/') AS template, purity
+FROM (SELECT *, host = 'org' OR ends_with(host, '.org') AS on_org, host = 'com' OR ends_with(host, '.com') AS on_com,
+             host = 'example.org' OR ends_with(host, '.example.org') AS on_example FROM g) g
+JOIN w ON g.host = w.host AND g.seg = w.seg JOIN v ON w.host = v.host AND w.template = v.template
+"""
+
 _ESCAPED = r"regexp_replace({0}, '(\\|###|</turn>)', '\\\1', 'g')"
 
 ORACLE["op8_chat"] = rf"""

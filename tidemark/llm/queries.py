@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, mixing, sharding, warc
-from tidemark.llm.common import shared_folder
+from tidemark.llm import chat, mixing, sharding, simhash, urls, warc
+from tidemark.llm.common import cut, shared_folder
 
 SHARDS = 24
 
@@ -33,6 +33,27 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their fingerprint and the smallest doc_id that links of 3 bits or fewer reach."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = cut(simhash.with_fingerprint(docs, "fp").select("doc_id", "fp"))
+    groups = simhash.near_duplicates(marked, "fp")
+    return marked.join(groups, "fp").select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages judged by the rules and by the purity of their template; a page's label is that of its document."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.filter_urls(pages, labels, URL_RULES)
+
+
 CHAT_SAMPLE = r"\### Assistant: </turn> ok"
 
 
@@ -70,6 +91,8 @@ def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_archive,
     "op2_mixing": mix_sources,
+    "op4_simhash": simhash_groups,
+    "op7_urls": filter_urls,
     "op8_chat": chat_format,
     "op9_sharding": shard_documents,
 }
