@@ -49,9 +49,16 @@ def map_rows(
     return df.mapInArrow(batches, schema)
 
 
-def same_rows(left: DataFrame, right: DataFrame, names: list[str]):
-    """Null-safe equality on every name, for frames aliased `l` and `r`."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
-    return left.alias("l"), right.alias("r"), condition
+def deal(rows: DataFrame, keys: list[str], member: str, chunk: int) -> DataFrame:
+    """Split the home rows (role 0) of crowded groups into parts of about `chunk` and let them visit the other parts.
+
+    Adds `part`; a row has role 0 in its own part only and role 1 in all others.  Visitors (role 1) go to every part.
+    """
+    crowded = small_side(rows.where("role = 0").groupBy(*keys).agg(F.count("*").alias("_n")).where(
+        F.col("_n") > chunk
+    ).select(*keys, F.ceil(F.col("_n") / chunk).cast("int").alias("_parts")))
+    dealt = rows.join(crowded, keys, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    own = F.when(F.col("role") == 0, F.pmod(F.xxhash64(member), F.col("_parts")).cast("int")).otherwise(-1)
+    return dealt.withColumn("_own", own).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    ).withColumn("role", F.when(F.col("_own") == F.col("part"), 0).otherwise(1)).drop("_own", "_parts")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, mixing, sharding, simhash, urls, warc
+from tidemark.llm import chat, embeddings, mixing, sharding, simhash, urls, warc
 from tidemark.llm.common import cut, shared_folder
 
 SHARDS = 24
@@ -41,6 +41,11 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.join(groups, "fp").select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors with the number of their links and their component."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 URL_RULES = [
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_archive,
     "op2_mixing": mix_sources,
     "op4_simhash": simhash_groups,
+    "op6_embeddings": embedding_groups,
     "op7_urls": filter_urls,
     "op8_chat": chat_format,
     "op9_sharding": shard_documents,

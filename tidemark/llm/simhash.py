@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import cut, map_rows, small_side
+from tidemark.llm.common import cut, deal, map_rows
 from tidemark.llm.graph import components
 
 SHINGLE = 3
@@ -100,18 +100,6 @@ def _at_anchors(points: DataFrame) -> DataFrame:
     return points.select("fp", F.inline(F.concat(rows(0), rows(1))))
 
 
-def _chunked(rows: DataFrame, homes: DataFrame, chunk: int) -> DataFrame:
-    """Add `part`: home rows of a crowded anchor are dealt over its parts and visit the other parts."""
-    crowded = small_side(homes.groupBy("half", "anchor").agg(F.count("*").alias("n")).where(F.col("n") > chunk).select(
-        "half", "anchor", F.ceil(F.col("n") / chunk).cast("int").alias("parts")
-    ))
-    dealt = rows.join(crowded, ["half", "anchor"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    return dealt.withColumn("own", F.when(F.col("role") == 0, own).otherwise(-1)).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    ).select("half", "anchor", "part", F.when(F.col("own") == F.col("part"), 0).otherwise(1).alias("role"), "fp")
-
-
 class _Anchor:
     """Home fingerprints of one anchor chunk and the links found with them so far."""
 
@@ -188,8 +176,7 @@ def links(points: DataFrame, bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFr
     """(a, b) pairs of distinct fingerprints `fp` at most `bits` (3 or fewer) apart, enough to connect all that are."""
     if not 0 <= bits <= 3:
         raise ValueError("the covering holds for 0 to 3 bits")
-    rows = _at_anchors(points)
-    dealt = _chunked(rows, rows.where("role = 0"), chunk)
+    dealt = deal(_at_anchors(points), ["half", "anchor"], "fp", chunk).select("half", "anchor", "part", "role", "fp")
     sorted_rows = dealt.repartition("half", "anchor", "part").sortWithinPartitions("half", "anchor", "part", "role")
     return sorted_rows.mapInArrow(_compare(bits), "a long, b long")
 
