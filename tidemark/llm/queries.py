@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, embeddings, mixing, sharding, simhash, urls, warc
+from tidemark.llm import chat, embeddings, mixing, sharding, simhash, toxicity, urls, warc
 from tidemark.llm.common import cut, shared_folder
 
 SHARDS = 24
@@ -33,6 +33,14 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the probabilities of the chain, trained on a bounded sample of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = toxicity.label_categories(table(spark, sf_dir, "labels"))
+    chain = toxicity.train(docs, labels, toxicity.CATEGORIES)
+    return toxicity.score(docs, chain, toxicity.CATEGORIES).drop("text")
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their fingerprint and the smallest doc_id that links of 3 bits or fewer reach."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +104,7 @@ def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_archive,
     "op2_mixing": mix_sources,
+    "op3_toxicity": toxic_documents,
     "op4_simhash": simhash_groups,
     "op6_embeddings": embedding_groups,
     "op7_urls": filter_urls,
