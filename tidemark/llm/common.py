@@ -30,6 +30,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Cut `df` and mark it for broadcast if its counted rows stay within the bound; else leave the join to Spark."""
     kept = cut(df)

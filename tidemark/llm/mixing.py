@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import WORD, cut, small_side
+from tidemark.llm.common import WORD, cut, fresh, small_side
 
 # Leading hex digits of a position: 16 ** 3 prefixes for each source.
 PREFIX = 3
@@ -109,36 +109,42 @@ def mix_plan(measured: DataFrame, weights: Sequence[float], budget: float, max_e
     )
 
 
+def _with_copies(measured: DataFrame, size: str, place: str, settings: tuple, name: str) -> DataFrame:
+    """Add the struct `name`: source_size, target and copies."""
+    plan = mix_plan(measured.select("source", F.col(size).alias("size"), F.col(place).alias("position")), *settings)
+    plan = small_side(plan.select(F.struct("source", "source_size", "target", "whole", "cut").alias("plan")))
+    extra = F.when((F.col("p.plan.cut") != "") & (F.col(f"d.{place}") <= F.col("p.plan.cut")), 1).otherwise(0)
+    joined = measured.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.plan.source")))
+    return joined.select("d.*", F.struct(
+        F.col("p.plan.source_size").alias("source_size"), F.col("p.plan.target").alias("target"),
+        (F.col("p.plan.whole") + extra).alias("copies"),
+    ).alias(name))
+
+
 def mix(
-    df: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5, max_epochs: float = 2, seed: int = 42,
-    narrow: bool = False,
+    docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5, max_epochs: float = 2, seed: int = 42,
 ) -> DataFrame:
-    """Add `size`, `source_size`, `target`, `copies` and `taken` to documents (doc_id, text, source).
+    """(doc_id, source, size, source_size, target, copies, taken) for every document.
 
-    Null text counts as empty, null source is a source of its own, repeated rows are decided together, columns of
-    the added names are replaced, an empty table stays empty.  `narrow` keeps only doc_id and source of the input
-    and reads the texts once.
+    Null text counts as empty, null source is a source of its own, rows equal in id and text are decided together, an
+    empty table stays empty.  Other columns are not read; texts are read once.
     """
-    measured = df.withColumns({"size": words(F.col("text")),
-                               "_position": position(F.col("doc_id"), F.col("text"), seed)})
-    if narrow:
-        measured = cut(measured.select("doc_id", "source", "size", "_position"))
-    plan = mix_plan(measured.select("source", "size", F.col("_position").alias("position")), weights, budget, max_epochs)
-    plan = small_side(plan.select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"),
-                                  F.col("target").alias("_target"), F.col("whole").alias("_whole"),
-                                  F.col("cut").alias("_cut")))
-    extra = F.when((F.col("_cut") != "") & (F.col("_position") <= F.col("_cut")), 1).otherwise(0)
-    added = {"size", "source_size", "target", "copies", "taken", "_position"}
-    names = [c for c in measured.columns if c not in added]
-    joined = measured.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    return joined.withColumn("copies", F.col("_whole") + extra).select(
-        *names, "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), "copies",
-        (F.col("copies") * F.col("size")).alias("taken"),
+    measured = cut(docs.select("doc_id", "source", words(F.col("text")).alias("size"),
+                               position(F.col("doc_id"), F.col("text"), seed).alias("position")))
+    settings = (weights, budget, max_epochs)
+    return _with_copies(measured, "size", "position", settings, "mix").select(
+        "doc_id", "source", "size", "mix.source_size", "mix.target", "mix.copies",
+        (F.col("mix.copies") * F.col("size")).alias("taken"),
     )
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix itself: each row as often as it is taken."""
-    return mixed.where("copies > 0").select(
-        *columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")
-    ).drop("_copy")
+def mixed(
+    docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5, max_epochs: float = 2, seed: int = 42,
+) -> DataFrame:
+    """The mix itself: whole rows, whatever their columns, each as often as `mix` takes it."""
+    size, place, name, copy = (fresh(docs, c) for c in ("_size", "_position", "_mix", "_copy"))
+    measured = docs.withColumns({size: words(F.col("text")), place: position(F.col("doc_id"), F.col("text"), seed)})
+    counted = _with_copies(measured, size, place, (weights, budget, max_epochs), name).where(F.col(f"{name}.copies") > 0)
+    return counted.withColumn(
+        copy, F.explode(F.sequence(F.lit(1), F.col(f"{name}.copies")))
+    ).drop(size, place, name, copy)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, embeddings, mixing, sharding, simhash, toxicity, urls, warc
+from tidemark.llm import chat, decontaminate, embeddings, mixing, sharding, simhash, toxicity, urls, warc
 from tidemark.llm.common import cut, shared_folder
 
 SHARDS = 24
@@ -28,7 +28,7 @@ def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of their words, at most two epochs of a source."""
-    return mixing.mix(table(spark, sf_dir, "documents"), narrow=True).select(
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source"
     )
 
@@ -49,6 +49,12 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.join(groups, "fp").select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a copy of a test item: the item, the alignment score and the words it spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, sf_dir, "benchmark").select("item_id", "text")).drop("row")
+
+
 def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors with the number of their links and their component."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mix_sources,
     "op3_toxicity": toxic_documents,
     "op4_simhash": simhash_groups,
+    "op5_decontamination": contaminated_documents,
     "op6_embeddings": embedding_groups,
     "op7_urls": filter_urls,
     "op8_chat": chat_format,

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import cut, deal, map_rows
+from tidemark.llm.common import cut, deal, fresh, map_rows
 from tidemark.llm.graph import components
 
 SHINGLE = 3
@@ -182,7 +182,7 @@ def links(points: DataFrame, bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFr
 
 
 def near_duplicates(marked: DataFrame, name: str = "fp", key: str = "doc_id", bits: int = MAX_BITS) -> DataFrame:
-    """(fp, component_id, keep_id): every distinct fingerprint with the smallest key of its component.
+    """(fp, root, component_id): every distinct fingerprint with its component's least fingerprint and smallest key.
 
     Null keys count after all others: a component with nothing but null keys has a null id.
     """
@@ -191,7 +191,7 @@ def near_duplicates(marked: DataFrame, name: str = "fp", key: str = "doc_id", bi
     rooted = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = cut(rooted)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
@@ -201,18 +201,14 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, bi
     repeat the key and the fingerprint of the kept document, and all rows of a group without keys, are cut down to
     one row.
     """
-    names = docs.columns
-    marked = with_fingerprint(docs, "_fp", shingle)
+    name = fresh(docs, "_fp")
     # fingerprints are computed once for the grouping and once more where whole rows are needed
-    narrow = cut(with_fingerprint(docs.select(key, "text"), "_fp", shingle).select(key, "_fp"))
-    groups = near_duplicates(narrow, "_fp", key, bits)
-    owned = narrow.select("_fp", F.col(key).alias("_key")).distinct().join(groups.withColumnRenamed("fp", "_fp"), "_fp")
-    kept = owned.where(F.col("_key").eqNullSafe(F.col("component_id")))
+    narrow = cut(with_fingerprint(docs.select(F.col(key).alias("key"), "text"), "fp", shingle).select("key", "fp"))
+    groups = near_duplicates(narrow, "fp", "key", bits)
+    owned = narrow.distinct().join(groups, "fp").where(F.col("key").eqNullSafe(F.col("component_id")))
     # several fingerprints of one component may carry its smallest key
-    kept = kept.groupBy("component_id").agg(F.min("_fp").alias("_fp")).select(
-        "_fp", F.col("component_id").alias("_key")
-    )
-    rows = marked.alias("d").join(
-        kept.alias("k"), (F.col("d._fp") == F.col("k._fp")) & F.col(f"d.{key}").eqNullSafe(F.col("k._key"))
+    kept = owned.groupBy("component_id", "root").agg(F.min("fp").alias("fp"))
+    rows = with_fingerprint(docs, name, shingle).alias("d").join(
+        kept.alias("k"), (F.col(f"d.{name}") == F.col("k.fp")) & F.col(f"d.{key}").eqNullSafe(F.col("k.component_id"))
     ).select("d.*")
-    return rows.dropDuplicates(["_fp", key]).select(*names)
+    return rows.dropDuplicates([name, key]).drop(name)

@@ -25,9 +25,9 @@ TRAINING_ROWS = 12_000
 DIMENSIONS = 1 << 18
 # Features a model may use, chosen by the significance of their difference between the classes.
 SELECTED = 4096
-LEAST_Z = 3.0
+LEAST_Z = 5.0
 FOLDS = 4
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 
 _WORD = re.compile(r"\w+")
 _PREFIXES = (4, 5)
@@ -196,6 +196,20 @@ def score(docs: DataFrame, chain: Chain | None, categories: list[str], threshold
     return map_rows(kept, add, StructType([*kept.schema.fields, *fields, StructField("toxic", BooleanType())]))
 
 
+def without_toxic(docs: DataFrame, chain: Chain | None, threshold: float = THRESHOLD) -> DataFrame:
+    """`docs`, whatever its columns, without the rows whose last category reaches the threshold."""
+    at = docs.columns.index("text")
+
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if chain is None:
+            return batch
+        buckets = _Buckets()
+        found = chain.probabilities([features(t, buckets) for t in batch.column(at).to_pylist()])
+        return batch.filter(pa.array(found[:, -1] < threshold))
+
+    return map_rows(docs, keep, docs.schema)
+
+
 # The chain over the labels table: low quality first, its log-odds then help to predict toxicity.
 CATEGORIES = ["low_quality", "toxic"]
 
