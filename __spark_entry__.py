@@ -445,12 +445,16 @@ _QUERIES: dict[str, Query] = {
 
 
 try:
+    from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL, run as _run_pipeline
     from tidemark.llm.oracle import ORACLE as _LLM_ORACLE
     from tidemark.llm.queries import QUERIES as _LLM_QUERIES
 except ModuleNotFoundError as error:
     if not str(error.name).startswith(("tidemark.llm", "corpus_pipeline")):
         raise
     _LLM_ORACLE, _LLM_QUERIES = {}, {}
+else:
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": _run_pipeline}
+    _LLM_ORACLE = {**_LLM_ORACLE, **({"pipeline": _PIPELINE_SQL} if _PIPELINE_SQL else {})}
 
 
 def entry(spark: SparkSession) -> DataFrame:
