@@ -17,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # A side with at most so many narrow rows may be broadcast.
 BROADCAST_ROWS = 100_000
 
+# Rows that a Python function gets at once.
+SLICE = 256
+
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder, so that lost executors cost no recomputation."""
@@ -45,14 +48,15 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def map_rows(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: StructType | str
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str
 ) -> DataFrame:
-    """Apply a function to each Arrow batch."""
+    """Apply a function to the rows, at most SLICE at a time, so that few long texts are Python objects at once."""
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            result = function(batch)
-            if result is not None and result.num_rows:
-                yield result
+            for at in range(0, batch.num_rows, SLICE):
+                result = function(batch.slice(at, SLICE))
+                if result.num_rows:
+                    yield result
 
     return df.mapInArrow(batches, schema)
 

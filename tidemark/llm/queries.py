@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontaminate, embeddings, mixing, sharding, simhash, toxicity, urls, warc
+from tidemark.llm import chat, decontaminate, embeddings, html_extract, mixing, sharding, simhash, toxicity, urls, warc
 from tidemark.llm.common import cut, shared_folder
 
 SHARDS = 24
@@ -107,6 +107,11 @@ def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered(placed, "shard", ["doc_id", "text_crc32", "size"])
 
 
+def extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by a labeller trained on a bounded sample of them."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_archive,
     "op2_mixing": mix_sources,
@@ -117,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_urls": filter_urls,
     "op8_chat": chat_format,
     "op9_sharding": shard_documents,
+    "op10_html": extract_pages,
 }
