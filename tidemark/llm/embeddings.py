@@ -172,8 +172,9 @@ class _Chunk:
             self.counts += block["copies"] @ counted
             counts.extend((n, c) for n, c in zip(block["node"], mine) if c)
             for i in np.flatnonzero(counted.any(1)):
-                groups = np.unique(self.label[counted[i]])
-                links.extend((block["node"][i], self.rows["node"][g]) for g in groups)
+                hit = np.flatnonzero(counted[i])
+                groups, one = np.unique(self.label[hit], return_index=True)
+                links.extend((block["node"][i], self.rows["node"][h]) for h in hit[one])
                 if at_home:
                     groups = np.unique(np.append(groups, self.label[at + i]))
                 if len(groups) > 1:

@@ -114,9 +114,10 @@ class _Anchor:
             near = np.bitwise_count(block[:, None] ^ self.homes[None, :]) <= self.bits
             near &= block[:, None] != self.homes[None, :]
             for row in np.flatnonzero(near.any(axis=1)):
-                groups = np.unique(self.label[near[row]])
-                for group in groups:
-                    yield int(block[row]), int(self.homes[group])
+                found = np.flatnonzero(near[row])
+                groups, first = np.unique(self.label[found], return_index=True)
+                for home in found[first]:
+                    yield int(block[row]), int(self.homes[home])
                 itself = np.flatnonzero(self.homes == block[row])
                 joined = np.unique(np.concatenate((groups, self.label[itself])))
                 if len(joined) > 1:
