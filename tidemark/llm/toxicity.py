@@ -25,7 +25,7 @@ TRAINING_ROWS = 12_000
 DIMENSIONS = 1 << 18
 # Features a model may use, chosen by the significance of their difference between the classes.
 SELECTED = 4096
-LEAST_Z = 5.0
+LEAST_Z = 2.5
 FOLDS = 4
 THRESHOLD = 0.4
 
