@@ -13,7 +13,7 @@ from tidemark.operators import features as ft
 from tidemark.operators import panes, rolling, sequence, sessions
 from tidemark.operators.slices import busiest
 from tidemark.plans import intents, nightly, propensity, quality, reports
-from tidemark.schemas import CAMPAIGN_THRESHOLD, PRODUCTS
+from tidemark.schemas import PRODUCTS
 from tidemark.session import configure
 from tidemark.sources import adapters, tables
 
@@ -70,7 +70,7 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 def _offers(spark: SparkSession, sf: str) -> DataFrame:
     """Stored offers; the time an offer arrives is the time of its event."""
-    return intents.realtime_offers(_enriched(spark, sf)).withColumn("received_at", F.timestamp_millis("event_ts_ms"))
+    return intents.realtime_offers(_enriched(spark, sf), F.timestamp_millis("event_ts_ms"))
 
 
 def _grid(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,6 +92,12 @@ def _spend_feed(spark: SparkSession, sf: str) -> DataFrame:
     return panes.sliding_spend(parsing.known_categories(adapters.transaction_events(spark, sf)))
 
 
+def _updated_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The spend feed; a window was last updated at its end."""
+    known = parsing.known_categories(adapters.transaction_events(spark, sf))
+    return panes.sliding_spend(known, updated_at=F.timestamp_millis("window_end_ms"))
+
+
 def _ms(name: str) -> Column:
     return F.unix_millis(name).alias(name)
 
@@ -149,6 +155,12 @@ def _damaged(messages: DataFrame) -> DataFrame:
         .when(form == 6, F.regexp_replace(value, '"customer_id":"[^"]*"', '"customer_id":""'))
         .when(form == 7, F.regexp_replace(value, '"merchant_category":"[^"]*"', '"merchant_category":null'))
         .when(form == 8, F.regexp_replace(value, '"(transaction_type|event_type)"', '"other"'))
+        .when(form == 9, F.regexp_replace(value, '"has_credit_card":[^,}]*', '"has_credit_card":true'))
+        .when(form == 10, F.regexp_replace(value, '"has_fixed_deposit":[^,}]*', '"has_fixed_deposit":"abc"'))
+        .when(form == 11, F.regexp_replace(value, '"amount":[^,}]*', '"amount":true'))
+        .when(form == 12, F.regexp_replace(value, '"amount":[^,}]*', '"amount":"NaN"'))
+        .when(form == 13, F.regexp_replace(value, '"amount":[^,}]*', '"amount":1e20'))
+        .when(form == 14, F.regexp_replace(value, '"has_credit_card":[^,}]*', '"has_credit_card":""'))
         .otherwise(value)
     ))
 
@@ -226,9 +238,8 @@ def campaign_lists(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def campaign_segments(spark: SparkSession, sf: str) -> DataFrame:
-    """Size and lowest score of each segment when every product list is cut at 50."""
-    lists = propensity.campaign_lists(_scores(spark, sf), BATCH_DAY, CAMPAIGN_THRESHOLD, top_n=50)
-    return lists.groupBy("product_family", "campaign_segment").agg(
+    """Size and lowest score of each segment of the campaign lists."""
+    return _lists(spark, sf).groupBy("product_family", "campaign_segment").agg(
         F.count("*").alias("customers"), F.round(F.min("propensity_score"), 4).alias("lowest_score")
     )
 
@@ -292,7 +303,7 @@ def weekly_wow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.run_summary(_inputs(spark, sf), _scores(spark, sf), _lists(spark, sf), _offers(spark, sf))
+    return reports.run_summary(_inputs(spark, sf), _scores(spark, sf), _lists(spark, sf))
 
 
 def score_snapshots(spark: SparkSession, sf: str) -> DataFrame:
@@ -302,8 +313,7 @@ def score_snapshots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nightly_enrichment(spark: SparkSession, sf: str) -> DataFrame:
-    feed = _spend_feed(spark, sf).withColumn("updated_at", F.timestamp_millis("window_end_ms"))
-    return nightly.nightly_enrichment(feed, STREAM_DAY).withColumn(
+    return nightly.nightly_enrichment(_updated_feed(spark, sf), STREAM_DAY).withColumn(
         "source_updated_at", _ms("source_updated_at")
     ).drop("refreshed_at")
 
@@ -323,6 +333,16 @@ def home_session(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.home_session_triggers(events, largest=busiest(events, ["customer_id"]))
 
 
+def home_session_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Home sessions from transactions as they come from a topic, with amounts as doubles."""
+    parsed = parsing.parse_transactions(adapters.transaction_messages(spark, sf), ["event_id"])
+    return sessions.home_session_triggers(parsed, largest=busiest(parsed, ["customer_id"]))
+
+
+def rejected_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return parsing.rejected_transactions(_damaged(adapters.transaction_messages(spark, sf)))
+
+
 def sequence_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """Fixed-deposit quote followed by a salary credit within a week."""
     quote = (F.col("event_type") == "quote_request") & (F.col("product") == "fixed_deposit")
@@ -392,6 +412,7 @@ _QUERIES: dict[str, Query] = {
     "seed_weights": seed_weights,
     "parse_iso": parse_iso,
     "parse_txn": parse_txn,
+    "rejected_messages": rejected_messages,
     "parse_product_event": parse_product_event,
     "parse_score": parse_score,
     "known_category_filter": known_category_filter,
@@ -420,6 +441,7 @@ _QUERIES: dict[str, Query] = {
     "rolling_features": rolling_features,
     "large_credit_quiet": large_credit_quiet,
     "home_session": home_session,
+    "home_session_messages": home_session_messages,
     "intent_signals": intent_signals,
     "intent_dedup": _kept,
     "score_enrich": score_enrich,

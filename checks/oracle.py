@@ -321,9 +321,10 @@ _cte("msg", """
          event_ts_ms - CASE WHEN event_id % 40 = 4 THEN 19800000 ELSE 0 END AS event_ts_ms,
          CASE event_id % 40 WHEN 1 THEN 'unknown' WHEN 7 THEN NULL ELSE merchant_category END AS merchant_category,
          CASE event_id % 40 WHEN 8 THEN 'debit' ELSE transaction_type END AS transaction_type,
-         CAST(amount AS DOUBLE) AS amount, has_credit_card, has_fixed_deposit,
+         CASE event_id % 40 WHEN 11 THEN 1::DOUBLE ELSE CAST(amount AS DOUBLE) END AS amount,
+         CASE event_id % 40 WHEN 9 THEN 1 WHEN 14 THEN 0 ELSE has_credit_card END AS has_credit_card, has_fixed_deposit,
          CASE event_id % 40 WHEN 8 THEN 'page_view' ELSE event_type END AS event_type, product
-  FROM ev WHERE event_id % 40 NOT IN (0, 5) AND NOT (kind = 'txn' AND event_id % 40 = 2)""")
+  FROM ev WHERE event_id % 40 NOT IN (0, 5) AND NOT (kind = 'txn' AND event_id % 40 IN (2, 10, 12, 13))""")
 
 _DAY_MS_1998 = "epoch_ms(TIMESTAMP '1998-06-30')"
 
@@ -343,6 +344,10 @@ ORACLE: dict[str, str] = {
     "parse_txn": _with("ev", "msg", tail="""
         SELECT event_id, customer_id, event_ts_ms, merchant_category, transaction_type, amount, has_credit_card,
                has_fixed_deposit FROM msg WHERE kind = 'txn' AND customer_id <> ''"""),
+    "rejected_messages": _with("ev", tail="""
+        SELECT count(*) FILTER (event_id % 40 IN (2, 12, 13)) AS bad_amounts, count(*) FILTER (event_id % 40 = 10) AS bad_flags,
+               count(*) FILTER (event_id % 40 NOT IN (0, 2, 5, 10, 12, 13)) AS accepted
+        FROM ev WHERE kind = 'txn'"""),
     "parse_product_event": _with("ev", "msg", tail="""
         SELECT event_id, customer_id, event_ts_ms, event_type, product
         FROM msg WHERE kind = 'product' AND customer_id <> ''"""),
@@ -384,7 +389,7 @@ ORACLE: dict[str, str] = {
         FROM ranked WHERE rank_no <= 5000"""),
     "campaign_segments": _with(*_LISTS, tail=f"""
         SELECT product_family, campaign_segment, count(*) AS customers, {_r("min(propensity_score)", 4)} AS lowest_score
-        FROM ranked WHERE rank_no <= 50 GROUP BY product_family, campaign_segment"""),
+        FROM ranked WHERE rank_no <= 5000 GROUP BY product_family, campaign_segment"""),
     "age_bands": _with("demo", tail="""
         SELECT customer_id, age,
                CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34'
@@ -428,6 +433,7 @@ ORACLE: dict[str, str] = {
         SELECT customer_id, event_id, credit_ms, next_ms FROM credits
         WHERE next_ms IS NULL OR next_ms >= credit_ms + {QUIET}"""),
     "home_session": _with("ev", "txe", "home", "session", "fired", tail="SELECT * FROM fired"),
+    "home_session_messages": _with("ev", "txe", "home", "session", "fired", tail="SELECT * FROM fired"),
     "intent_signals": _with(*_SIGNALS, tail="SELECT * FROM signals"),
     "intent_dedup": _with(*_KEPT, tail="SELECT * FROM kept"),
     "score_enrich": _with("ev", *_SCORES, tail="""
@@ -488,15 +494,13 @@ ORACLE: dict[str, str] = {
                CAST(sum(offers_sent) AS BIGINT) * 0.02::DOUBLE AS targeted_est_conversions,
                CAST(sum(offers_sent) AS BIGINT) * 0.02::DOUBLE * any_value(revenue) AS targeted_est_revenue
         FROM grid g JOIN labels_of l ON l.product = g.product GROUP BY product_label"""),
-    "run_summary": _with(*_OFFERS, "ranked", tail=f"""
+    "run_summary": _with(*_LISTS, tail=f"""
         SELECT 'propensity_inputs' AS table_name, count(*) AS row_count, CAST(NULL AS DOUBLE) AS min_score,
                CAST(NULL AS DOUBLE) AS avg_score, CAST(NULL AS DOUBLE) AS max_score FROM inputs
         UNION ALL SELECT 'mart_propensity_scores', count(*), {_r("min(propensity_score)", 4)},
                {_r("avg(propensity_score)", 4)}, {_r("max(propensity_score)", 4)} FROM scores
         UNION ALL SELECT 'mart_campaign_lists', count(*), {_r("min(propensity_score)", 4)},
-               {_r("avg(propensity_score)", 4)}, {_r("max(propensity_score)", 4)} FROM ranked WHERE rank_no <= 5000
-        UNION ALL SELECT 'realtime_offers', count(*), {_r("min(final_score)", 4)}, {_r("avg(final_score)", 4)},
-               {_r("max(final_score)", 4)} FROM offers"""),
+               {_r("avg(propensity_score)", 4)}, {_r("max(propensity_score)", 4)} FROM ranked WHERE rank_no <= 5000"""),
     "dq_inputs": """
         SELECT 'transactions' AS table_name, (SELECT count(*) > 0 FROM lineitem) AS has_rows, 0::BIGINT AS repeated_keys
         UNION ALL SELECT 'product_holdings', (SELECT count(*) > 0 FROM customer),
@@ -549,6 +553,7 @@ _DOUBLE = {
     "realtime_offers": ["session_window_ms"],
     "offer_flatten": ["txn_10m", "txn_2h", "txn_24h"],
     "home_session": ["session_window_ms"],
+    "home_session_messages": ["session_window_ms"],
 }
 for _columns_of, _type in ((_TEXT, "VARCHAR"), (_DOUBLE, "DOUBLE")):
     for _name, _columns in _columns_of.items():

@@ -89,6 +89,12 @@ def test_session_spend_of_exactly_the_limit_is_silent(spark):
     assert only(spark, [*events, event(3, "c", T0 + 2 * HOUR, "furniture", 0.01)], "home_loan") == [2 * HOUR]
 
 
+def test_cents_of_parsed_amounts_are_not_cut_off(spark):
+    events = frame(spark, [event(1, "c", T0, "furniture", 1.15), event(2, "c", T0 + 1, "furniture", 1998.86)])
+    parsed = events.withColumn("amount", F.col("amount").cast("double"))
+    assert [r.spend for r in sessions.home_session_triggers(parsed).collect()] == [2000.01]
+
+
 @pytest.mark.parametrize("late,fires", [(0, True), (1, False)])
 def test_session_breaks_only_after_more_than_seven_days(spark, late, fires):
     events = [event(1, "c", T0, "furniture", 1500.0), event(2, "c", T0 + WEEK + late, "furniture", 1000.0)]

@@ -1,10 +1,12 @@
+import json
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tidemark.functions import parsing
-from tidemark.plans import nightly, propensity, reports
+from tidemark.plans import nightly, propensity, quality, reports
 from tidemark.sources import sinks, tables
 
 KEY = ["window_end_ms", "customer_id", "merchant_category"]
@@ -38,7 +40,7 @@ def test_survey_and_weights(spark, tmp_path):
     rows = tables.read_survey(spark, str(tmp_path / "survey.csv")).collect()
     assert [(r.age, r.has_home_loan, r.has_personal_loan, r.last_campaign_response, r.campaign_touch_count)
             for r in rows] == [(30, 1, 0, "no", 2), (41, 0, 1, "yes", 1)]
-    assert [r.customer_id for r in rows] == ["cust_000000", "cust_000001"]
+    assert [r.customer_id for r in rows] == ["cust_000001", "cust_000002"]
     packaged = tables.load_weights(spark)
     assert packaged.collect() == tables.load_weights(spark, str(tables.SEED_WEIGHTS)).collect()
     sums = {r[0]: round(sum(r[1:]), 2) for r in packaged.collect()}
@@ -91,11 +93,18 @@ def test_upserts_and_replays(spark, tmp_path):
     first = spark.createDataFrame([(1, "a", "x", 1.0), (2, "a", "x", 2.0)], schema)
     second = spark.createDataFrame([(2, "a", "x", 5.0)], schema)
     path = f"{tmp_path}/feed"
-    for batch_id, batch in ((0, first), (1, second), (1, second)):
-        sinks.write_batch(batch, path, batch_id)
+    for batch_id, batch in ((0, first), (7, second), (7, second)):
+        sinks.write_batch(batch, path, batch_id, 1)
     assert spark.read.parquet(path).count() == 3
     current = sinks.latest_by_key(spark.read.parquet(path))
     assert sorted((r.window_end_ms, r.total_spend) for r in current.collect()) == [(1, 1.0), (2, 5.0)]
+    # a new checkpoint folder counts its batches from 0 again
+    third = spark.createDataFrame([(2, "a", "x", 9.0)], schema)
+    sinks.compact(spark, path, f"{tmp_path}/compact")
+    sinks.write_batch(third, path, 0, 2)
+    for log in (spark.read.parquet(path), spark.read.parquet(f"{tmp_path}/compact").unionByName(spark.read.parquet(path))):
+        current = sinks.latest_by_key(log)
+        assert sorted((r.window_end_ms, r.total_spend) for r in current.collect()) == [(1, 1.0), (2, 9.0)]
     merged = sinks.upsert(second, first, KEY)
     assert sorted((r.window_end_ms, r.total_spend) for r in merged.collect()) == [(1, 1.0), (2, 5.0)]
     assert sinks.upsert(first, None, KEY) is first
@@ -130,6 +139,26 @@ def test_tables_exports_and_snapshots(spark, tmp_path):
     assert {len(r.scores) for r in back.collect()} == {4}
 
 
+def test_odd_amounts_and_flags(spark):
+    def message(**fields):
+        return (json.dumps({"customer_id": "a", "event_ts": "2024-01-01T00:00:00", "amount": 1, **fields}),)
+
+    good = [message(amount=True), message(amount="2.5"), message(has_credit_card=True), message(has_credit_card="")]
+    bad = [message(amount="NaN"), message(amount="Infinity"), message(amount=1e20), message(amount=[1]),
+           message(has_credit_card="abc"), message(has_fixed_deposit="NaN")]
+    raw = spark.createDataFrame(good + bad, "value string")
+    got = parsing.parse_transactions(raw).collect()
+    assert sorted((r.amount, r.has_credit_card) for r in got) == [(1.0, 0), (1.0, 0), (1.0, 1), (2.5, 0)]
+    assert tuple(parsing.rejected_transactions(raw).first()) == (4, 2, 4)
+    ids = [r[0] for r in raw.select(parsing.message_id("txn")).union(raw.select(parsing.message_id("product"))).collect()]
+    assert len(set(ids)) == 2 * len(good + bad)
+
+
+def test_a_failed_check_tells_how_many_rows_broke_it(spark):
+    with pytest.raises(ValueError, match="in 30 rows"):
+        quality.require(spark.range(50), "id < 20")
+
+
 def test_report_titles(spark):
     feed = spark.createDataFrame([(datetime(2024, 1, 1), "a", "HOT", "home_loan", 96.0, "p")],
                                  "received_at timestamp, customer_id string, customer_segment string, product string, "

@@ -15,7 +15,7 @@ def duck():
 
 
 def test_every_query_has_check_sql():
-    assert set(SQL) == set(entry_module.queries())
+    assert set(entry_module._QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -3,6 +3,7 @@
 import json
 import os
 import time
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tidemark.functions import parsing
 from tidemark.operators import panes
-from tidemark.plans import intents
+from tidemark.plans import intents, nightly, reports
 from tidemark.sources import adapters, sinks, tables
 from tidemark.streaming import jobs
 
 T0 = 1_700_000_000_000
+STAMP = datetime(2023, 11, 20)
 MINUTE = 60_000
 
 
@@ -47,12 +49,12 @@ class Topics:
     def stream(self, spark, name):
         return tables.read_message_files(spark, f"{self.root}/{name}/*.json", files_per_trigger=1)
 
-    def start(self, spark):
+    def start(self, spark, run=1):
         return jobs.start_intents(
             parsing.parse_transactions(self.stream(spark, "txn")),
             parsing.parse_product_events(self.stream(spark, "product")),
             parsing.parse_scores(self.stream(spark, "scores")),
-            f"{self.root}/out", f"{self.root}/checkpoint", trigger="1 second",
+            f"{self.root}/out", f"{self.root}/checkpoint{run}", run, lambda: STAMP + timedelta(days=run), trigger="1 second",
         )
 
 
@@ -90,16 +92,18 @@ def test_scores_offers_dedup_and_late_events(spark, topics):
                           {"customer_id": "CUST_DEDUP", "scores": {"home_loan": 60.0}},
                           {"customer_id": "CUST_LATE", "scores": {"home_loan": 60.0}}, "not json"])
     topics.put("product", [{"customer_id": "CUST_BCAST", "event_ts": iso(T0), "product": "home_loan"}])
+    # one message that cannot be summed must not stop the job
+    topics.put("txn", [message("CUST_BCAST", T0, "furniture", a) for a in ("NaN", 1e20)])
     topics.put("txn", [message("CUST_BCAST", T0, c, 700.0) for c in home]
                + [message("CUST_DEDUP", T0, c, a) for c, a in zip(home, (800.0, 700.0, 700.0))]
                + [message("CUST_NEW", T0, "furniture", 2500.0), message("", T0, "furniture", 9000.0)])
     query = topics.start(spark)
     try:
-        wait_for(query, idle_after(13))
+        wait_for(query, idle_after(15))
         # the second session of the same day, and a row 25 minutes behind the newest event
         topics.put("txn", [message("CUST_DEDUP", T0 + i, c, 800.0) for i, c in enumerate(home)]
                    + [message("CUST_LATE", T0 - 25 * MINUTE, "home_improvement", 3000.0)])
-        wait_for(query, idle_after(17))
+        wait_for(query, idle_after(19))
     finally:
         query.stop()
     metrics = [p.observedMetrics["intent_input"] for p in query.recentProgress if "intent_input" in p.observedMetrics]
@@ -114,7 +118,13 @@ def test_scores_offers_dedup_and_late_events(spark, topics):
     assert stored["CUST_DEDUP"].pattern_metric == 2200.0
     assert stored["CUST_BCAST"].category_spend_7d == dict.fromkeys(home, 700.0)
 
-    offers = {r.customer_id: r for r in parsing.flatten_offers(spark.read.parquet(f"{out}/offers")).collect()}
+    flat = parsing.flatten_offers(spark.read.parquet(f"{out}/offers"), ["received_at"])
+    offers = {r.customer_id: r for r in flat.collect()}
+    lists = spark.createDataFrame([("CUST_BCAST", "home_loan", 68.0, datetime(2023, 11, 1), "HOT", datetime(2023, 11, 1))],
+                                  "customer_id string, product_family string, propensity_score double, score_ts timestamp, "
+                                  "campaign_segment string, generated_at timestamp")
+    feed = reports.intent_feed(flat, lists).collect()
+    assert {r.customer_id for r in feed} == set(offers) and all(r.received_at == STAMP + timedelta(days=1) for r in feed)
     assert set(offers) == {"CUST_BCAST", "CUST_DEDUP", "CUST_LATE"}
     assert (offers["CUST_BCAST"].base_score, offers["CUST_BCAST"].final_score) == (68.0, 96.0)
     assert offers["CUST_BCAST"].trigger_event == "home_improvement_session_spend_gt_2000"
@@ -122,6 +132,7 @@ def test_scores_offers_dedup_and_late_events(spark, topics):
 
     (late,) = spark.read.parquet(f"{out}/late").collect()
     raw = json.loads(late.raw_event)
+    assert late.arrived_at == STAMP + timedelta(days=1)
     assert (late.customer_id, raw["customer_id"], raw["event_ts_ms"]) == ("CUST_LATE", "CUST_LATE", T0 - 25 * MINUTE)
 
 
@@ -157,14 +168,51 @@ def test_sliding_spend_stream(spark, topics):
                + [message("a", base, "unknown", 5.0), message("", base, "retail", 5.0)])
     topics.put("txn", [message("a", base + 4 * day, "retail", 1.0)])
     out = f"{topics.root}/spend"
-    query = jobs.start_sliding_spend(
-        parsing.parse_transactions(topics.stream(spark, "txn")), out, f"{topics.root}/checkpoint", "1 second")
-    try:
-        query.processAllAvailable()
-    finally:
-        query.stop()
+    def run(number):
+        query = jobs.start_sliding_spend(
+            parsing.parse_transactions(topics.stream(spark, "txn")), out, f"{topics.root}/checkpoint{number}", number,
+            lambda: STAMP + timedelta(days=number), "1 second")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    run(1)
     parsed = parsing.parse_transactions(spark.read.text(f"{topics.root}/txn"))
     want = panes.sliding_spend(parsing.drop_blank_keys(parsing.known_categories(parsed)))
     columns = ["window_end_ms", "customer_id", "merchant_category", "total_spend", "event_count"]
     got = sinks.latest_by_key(spark.read.parquet(out)).select(*columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*columns).collect()))
+
+    # a new checkpoint folder: newer values win, and the nightly snapshot reads the stored feed as it is
+    topics.put("txn", [message("a", base + 4 * day, "retail", 100.0)])
+    run(2)
+    parsed = parsing.parse_transactions(spark.read.text(f"{topics.root}/txn"))
+    want = panes.sliding_spend(parsing.drop_blank_keys(parsing.known_categories(parsed)))
+    current = sinks.latest_by_key(spark.read.parquet(out))
+    assert sorted(map(tuple, current.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))
+    sinks.replace_days(nightly.nightly_enrichment(current, date(2023, 11, 21)), f"{topics.root}/nightly")
+    (row,) = spark.read.parquet(f"{topics.root}/nightly").collect()
+    last = max(want.collect(), key=lambda r: r.window_end_ms)
+    assert (row.total_spend, row.source_updated_at) == (last.total_spend, STAMP + timedelta(days=2))
+
+
+def test_a_new_start_repeats_and_loses_nothing(spark, topics):
+    topics.put("scores", [{"customer_id": "a", "scores": {"home_loan": 60.0}}])
+    topics.put("product", [{"customer_id": "a", "event_ts": iso(T0), "product": "home_loan"}])
+    topics.put("txn", [message("a", T0, "furniture", 2500.0)])
+    query = topics.start(spark, 1)
+    try:
+        wait_for(query, idle_after(3))
+    finally:
+        query.stop()
+    topics.put("txn", [message("b", T0, "furniture", 2500.0)])
+    query = topics.start(spark, 2)
+    try:
+        wait_for(query, idle_after(4))
+    finally:
+        query.stop()
+    stored = spark.read.parquet(f"{topics.root}/out/intents").collect()
+    assert sorted(r.customer_id for r in stored) == ["a", "b"] and stored[0].event_date == date(2023, 11, 14)
+    offers = parsing.flatten_offers(spark.read.parquet(f"{topics.root}/out/offers"), ["received_at"]).collect()
+    assert [(r.customer_id, r.received_at) for r in offers] == [("a", STAMP + timedelta(days=1))]

@@ -32,8 +32,15 @@ def _field(name: str, default: str) -> Column:
     return F.when(F.map_contains_key("m", name), F.col("m")[name]).otherwise(F.lit(default))
 
 
+def _number(text: Column) -> Column:
+    """A JSON number, a number as text, or a boolean; null when it is neither."""
+    return F.when(text == "true", 1.0).when(text == "false", 0.0).otherwise(text.try_cast("double"))
+
+
 def _flag(name: str) -> Column:
-    return F.coalesce(F.col("m")[name].try_cast("double").cast("int"), F.lit(0)).alias(name)
+    """0 when missing, null or empty; null, which drops the message, when it is not a number."""
+    text = F.col("m")[name]
+    return F.when(text.isNull() | (text == ""), 0).otherwise(_number(text).try_cast("int")).alias(name)
 
 
 def _decode(raw: DataFrame, keep: list[str], kind: str, fields: list[Column]) -> DataFrame:
@@ -53,15 +60,42 @@ def _decode(raw: DataFrame, keep: list[str], kind: str, fields: list[Column]) ->
     )
 
 
-def parse_transactions(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Decode transaction messages in column `value`; undecodable rows are dropped."""
-    return _decode(raw, keep or [], "txn", [
+# Amounts from here on cannot be summed as cents; no account moves that much.
+AMOUNT_LIMIT = 1e15
+
+
+def _transactions(raw: DataFrame, keep: list[str]) -> DataFrame:
+    return _decode(raw, keep, "txn", [
         _field("merchant_category", "unknown").alias("merchant_category"),
         _field("transaction_type", "debit").alias("transaction_type"),
-        _field("amount", "0").try_cast("double").alias("amount"),
+        _number(_field("amount", "0")).alias("amount"),
         _flag("has_credit_card"),
         _flag("has_fixed_deposit"),
-    ]).where("amount is not null")
+    ])
+
+
+# Not a number, not finite or out of range; NaN is larger than every number.
+_BAD_AMOUNT = f"(amount is null or abs(amount) >= {AMOUNT_LIMIT:.0f}D)"
+_BAD_FLAG = "(has_credit_card is null or has_fixed_deposit is null)"
+
+
+def parse_transactions(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Decode transaction messages in column `value`; undecodable rows are dropped (see `rejected_transactions`)."""
+    return _transactions(raw, keep or []).where(f"not {_BAD_AMOUNT} and not {_BAD_FLAG}")
+
+
+def rejected_transactions(raw: DataFrame) -> DataFrame:
+    """How many messages `parse_transactions` drops for their amount or a flag, beside those it takes."""
+    return _transactions(raw, []).agg(
+        F.count_if(F.expr(_BAD_AMOUNT)).alias("bad_amounts"),
+        F.count_if(F.expr(f"{_BAD_FLAG} and not {_BAD_AMOUNT}")).alias("bad_flags"),
+        F.count_if(F.expr(f"not {_BAD_AMOUNT} and not {_BAD_FLAG}")).alias("accepted"),
+    )
+
+
+def message_id(kind: str) -> Column:
+    """An event id for messages that carry none: the same message has the same id, topics do not clash."""
+    return F.xxhash64(F.lit(kind), F.col("value")).alias("event_id")
 
 
 def parse_product_events(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -59,7 +59,7 @@ def transaction_features(recent: DataFrame, as_ofs: list[date]) -> DataFrame:
     """
     keys = ["customer_id"] if len(as_ofs) == 1 else ["as_of", "customer_id"]
     as_of = F.lit(as_ofs[0]) if len(as_ofs) == 1 else F.col("as_of")
-    spend = F.abs("amount").cast("decimal(18,4)")
+    spend = F.abs("amount").try_cast("decimal(18,4)")
 
     def total(condition: Column | None = None) -> Column:
         value = spend if condition is None else F.when(condition, spend).otherwise(F.lit(0).cast("decimal(18,4)"))

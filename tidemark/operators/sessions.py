@@ -28,7 +28,7 @@ STATE = "struct<spend:bigint,start:bigint,last:bigint>"
 
 def home_transactions(events: DataFrame) -> DataFrame:
     return events.where((F.col("kind") == "txn") & F.col("merchant_category").isin(HOME_CATEGORIES)).select(
-        "customer_id", "event_ts_ms", "event_id", (F.col("amount") * 100).cast("bigint").alias("cents")
+        "customer_id", "event_ts_ms", "event_id", (F.col("amount").cast("decimal(18,2)") * 100).cast("bigint").alias("cents")
     )
 
 

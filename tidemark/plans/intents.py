@@ -128,9 +128,12 @@ def intent_events(events: DataFrame, scores: DataFrame) -> DataFrame:
     return assemble(enrich(kept, scores).withColumn("is_late", F.lit(False)))
 
 
-def realtime_offers(intents: DataFrame) -> DataFrame:
-    """Offers of intents above the threshold.  Takes enriched or stored intents."""
-    return intents.where(F.col("composite_score") > F.col("threshold")).select(
+def realtime_offers(intents: DataFrame, received_at: Column | None = None) -> DataFrame:
+    """Offers of intents above the threshold.  Takes enriched or stored intents.
+
+    `received_at`, an expression over the offers, adds the time of arrival that the reports go by.
+    """
+    offers = intents.where(F.col("composite_score") > F.col("threshold")).select(
         "customer_id",
         "product",
         "base_score",
@@ -145,11 +148,16 @@ def realtime_offers(intents: DataFrame) -> DataFrame:
         "event_ts_ms",
         *(["is_late"] if "is_late" in intents.columns else [F.lit(False).alias("is_late")]),
     )
+    return offers if received_at is None else offers.withColumn("received_at", received_at)
+
+
+def offer_json(columns: list[str]) -> Column:
+    """An offer as a JSON message; missing values are written as null."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
 def offer_messages(offers: DataFrame) -> DataFrame:
-    """Offers as JSON messages; missing values are written as null."""
-    return offers.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    return offers.select(offer_json(offers.columns).alias("value"))
 
 
 def tag_transactions(transactions: DataFrame, holdings: DataFrame) -> DataFrame:

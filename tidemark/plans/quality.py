@@ -46,7 +46,8 @@ def check_feed(feed: DataFrame) -> DataFrame:
 
 
 def require(report: DataFrame, condition: str) -> None:
-    """Fail the run when any row of a report breaks the condition; at most a handful of rows come back."""
-    broken = report.where(f"NOT coalesce({condition}, false)").limit(20).collect()
-    if broken:
-        raise ValueError(f"data check failed ({condition}): {[r.asDict() for r in broken]}")
+    """Fail the run when any row of a report breaks the condition: tells how many do and shows the first of them."""
+    broken = report.where(f"NOT coalesce({condition}, false)")
+    shown = broken.limit(20).collect()
+    if shown:
+        raise ValueError(f"data check failed ({condition}) in {broken.count()} rows: {[r.asDict() for r in shown]}")

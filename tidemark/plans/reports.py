@@ -241,7 +241,7 @@ REVENUE_TITLES = {
 }
 
 
-def run_summary(inputs: DataFrame, scores: DataFrame, lists: DataFrame, offers: DataFrame) -> DataFrame:
+def run_summary(inputs: DataFrame, scores: DataFrame, lists: DataFrame) -> DataFrame:
     """Row counts of the tables a run leaves behind, with the range of the scores."""
     def counted(name: str, df: DataFrame, score: Column) -> DataFrame:
         return df.agg(
@@ -257,5 +257,4 @@ def run_summary(inputs: DataFrame, scores: DataFrame, lists: DataFrame, offers:
         counted("propensity_inputs", inputs, none)
         .unionByName(counted("mart_propensity_scores", scores, F.col("propensity_score")))
         .unionByName(counted("mart_campaign_lists", lists, F.col("propensity_score")))
-        .unionByName(counted("realtime_offers", offers, F.col("final_score")))
     )

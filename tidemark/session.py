@@ -46,9 +46,16 @@ def build_session(master: str | None = None, app: str = "tidemark", **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by the cluster; a temporary one only where none is named."""
+    """Use the shared folder named by the cluster.
+
+    A temporary folder will do on one machine only; on a cluster its parts would lie on different disks.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+    if not shared:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        shared = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+    sc.setCheckpointDir(shared)

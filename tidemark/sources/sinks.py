@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.sources.tables import path_exists
 
@@ -26,9 +26,13 @@ def materialise(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """One micro-batch as one partition; replaying the batch replaces the partition."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, run: int) -> None:
+    """One micro-batch as one partition; replaying the batch replaces the partition.
+
+    Batches count from 0 again with a new checkpoint folder, so each such folder needs a `run` of its own, higher
+    than those before it.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
 
 def insert_new(df: DataFrame, path: str, key: str = "event_id", by: str = "event_date") -> None:
@@ -40,15 +44,27 @@ def insert_new(df: DataFrame, path: str, key: str = "event_id", by: str = "event
     fresh = df.dropDuplicates([key])
     if path_exists(spark, path):
         touched = fresh.select(by).distinct()
-        known = spark.read.parquet(path).join(F.broadcast(touched), by, "left_semi").select(key)
+        known = spark.read.schema(fresh.schema).parquet(path).join(F.broadcast(touched), by, "left_semi").select(key)
         fresh = fresh.join(known, key, "left_anti")
     fresh.write.mode("append").partitionBy(by).parquet(path)
 
 
-def latest_by_key(log: DataFrame, keys: list[str] = FEED_KEY, version: str = "batch_id") -> DataFrame:
-    """Current row per key of an append log: an upsert resolved on read, as a max over structs."""
-    rest = [c for c in log.columns if c not in (*keys, version)]
-    return log.groupBy(*keys).agg(F.max(F.struct(version, *rest)).alias("r")).select(*keys, *[f"r.{c}" for c in rest])
+VERSION = ["run", "batch_id"]
+
+
+def latest_by_key(log: DataFrame, keys: list[str] = FEED_KEY, version: list[str] = VERSION) -> DataFrame:
+    """Current row per key of an append log: an upsert resolved on read, as a max over structs.  Keeps the version."""
+    rest = [c for c in log.columns if c not in (*keys, *version)]
+    newest = F.max(F.struct(*version, *rest)).alias("r")
+    return log.groupBy(*keys).agg(newest).select(*keys, *[f"r.{c}" for c in (*version, *rest)])
+
+
+def compact(spark: SparkSession, path: str, target: str, keys: list[str] = FEED_KEY) -> None:
+    """Write the current rows of the log at `path` to the new folder `target`, as one log with the same versions.
+
+    The log goes on beside it: later batches win over compacted rows, so readers take the union of both.
+    """
+    latest_by_key(spark.read.parquet(path), keys).write.partitionBy(*VERSION).parquet(target)
 
 
 def upsert(df: DataFrame, current: DataFrame | None, keys: list[str]) -> DataFrame:

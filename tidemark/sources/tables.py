@@ -98,7 +98,7 @@ def read_survey(spark: SparkSession, path: str) -> DataFrame:
 
     raw = with_row_number(spark.read.csv(path, sep=";", header=True))
     return raw.select(
-        F.format_string("cust_%06d", F.col("row_number")).alias("customer_id"),
+        F.format_string("cust_%06d", F.col("row_number") + 1).alias("customer_id"),
         F.col("age").cast("bigint").alias("age"),
         yes("housing").alias("has_home_loan"),
         F.lit(0).alias("has_credit_card"),

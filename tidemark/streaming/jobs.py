@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.parsing import drop_blank_keys, known_categories
 from tidemark.functions.scoring import base_or_default, composite_score, pattern_boost
-from tidemark.plans.intents import assemble, offer_messages, realtime_offers
+from tidemark.plans.intents import assemble, offer_json, realtime_offers
 from tidemark.schemas import OFFER_THRESHOLD, WATERMARK_DELAY
 from tidemark.sources import sinks
 from tidemark.streaming.processor import OUTPUT_SCHEMA, IntentProcessor
 
+# Time that outputs are stamped with.
+Clock = Callable[[], datetime]
+
 INPUT_COLUMNS = [
     "customer_id", "kind", "event_ts", "event_ts_ms", "merchant_category", "transaction_type", "amount",
     "has_credit_card", "event_type", "product",
@@ -54,21 +60,34 @@ def stored_intents(output: DataFrame) -> DataFrame:
         "base_score": F.round(base, 2),
         "composite_score": composite_score(base, boost),
         "threshold": F.lit(OFFER_THRESHOLD),
-    }))
+    })).withColumn("event_date", F.timestamp_millis("event_ts_ms").cast("date"))
 
 
-def late_events(output: DataFrame) -> DataFrame:
+def late_events(output: DataFrame, arrived_at: datetime) -> DataFrame:
     return output.where("output = 'late'").select(
-        "customer_id", "raw_event", F.timestamp_millis("event_ts_ms").alias("event_ts")
+        "customer_id", "raw_event", F.timestamp_millis("event_ts_ms").alias("event_ts"),
+        F.lit(arrived_at).alias("arrived_at"),
+    )
+
+
+def stored_offers(intents: DataFrame, received_at: datetime) -> DataFrame:
+    """Offer messages in column `value`, with the key and date of their intent and the time of arrival."""
+    offers = realtime_offers(intents, F.lit(received_at))
+    message = [c for c in offers.columns if c != "received_at"]
+    return offers.select(
+        F.sha2(F.concat_ws("|", "customer_id", "product", "trigger_event", "event_ts_ms"), 256).alias("event_id"),
+        F.timestamp_millis("event_ts_ms").cast("date").alias("event_date"), "received_at",
+        offer_json(message).alias("value"),
     )
 
 
 def start_intents(transactions: DataFrame, product_events: DataFrame, scores: DataFrame, out: str,
-                  checkpoint: str, trigger: str = "10 seconds") -> StreamingQuery:
+                  checkpoint: str, run: int, now: Clock, trigger: str = "10 seconds") -> StreamingQuery:
     """Run the intent job; intents, offers and late events land under `out`.
 
-    Each micro-batch writes its own partition and overwrites it when replayed after a failure, so
-    every output holds each row once.
+    Intents and offers have a deterministic key and are inserted once, whatever is replayed and however
+    often the job starts anew.  Late events are a log: a micro-batch replaces its own partition when
+    replayed.  A new checkpoint folder needs a higher `run`.  `now` gives the time of arrival.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -76,10 +95,11 @@ def start_intents(transactions: DataFrame, product_events: DataFrame, scores: Da
             # finding a batch empty evaluates every partition, so the state is committed all the same
             if batch.isEmpty():
                 return
+            arrived = now()
             intents = stored_intents(batch)
-            sinks.write_batch(intents, f"{out}/intents", batch_id)
-            sinks.write_batch(late_events(batch), f"{out}/late", batch_id)
-            sinks.write_batch(offer_messages(realtime_offers(intents)), f"{out}/offers", batch_id)
+            sinks.insert_new(intents, f"{out}/intents")
+            sinks.write_batch(late_events(batch, arrived), f"{out}/late", batch_id, run)
+            sinks.insert_new(stored_offers(intents, arrived), f"{out}/offers")
         finally:
             batch.unpersist()
 
@@ -99,7 +119,7 @@ def sliding_spend_stream(transactions: DataFrame) -> DataFrame:
         known_categories(drop_blank_keys(transactions))
         .withWatermark("event_ts", WATERMARK_DELAY)
         .groupBy(F.window("event_ts", "7 days", "1 day"), "customer_id", "merchant_category")
-        .agg(F.sum(F.col("amount").cast("decimal(18,2)")).alias("spend"), F.count("*").alias("n"))
+        .agg(F.sum(F.col("amount").try_cast("decimal(18,2)")).alias("spend"), F.count("*").alias("n"))
         .select(
             (F.unix_millis("window.end") - 1).alias("window_end_ms"),
             "customer_id",
@@ -110,12 +130,18 @@ def sliding_spend_stream(transactions: DataFrame) -> DataFrame:
     )
 
 
-def start_sliding_spend(transactions: DataFrame, out: str, checkpoint: str,
+def start_sliding_spend(transactions: DataFrame, out: str, checkpoint: str, run: int, now: Clock,
                         trigger: str = "10 seconds") -> StreamingQuery:
-    """Run the spend job; `sinks.latest_by_key` reads the current row of each window."""
+    """Run the spend job; `sinks.latest_by_key` reads the current row of each window, `sinks.compact` shortens the log.
+
+    A new checkpoint folder needs a higher `run`.  `now` gives `updated_at`.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_batch(batch.withColumn("updated_at", F.lit(now())), out, batch_id, run)
+
     return (
         sliding_spend_stream(transactions)
-        .writeStream.foreachBatch(lambda batch, batch_id: sinks.write_batch(batch, out, batch_id))
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .outputMode("update")
         .trigger(processingTime=trigger)
