@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests import naive
 from tests.naive import DAY, HOUR, WEEK, event
-from tidemark.operators import rolling, sequence, sessions, spacing
+from tidemark.operators import rolling, sequence, sessions, slices, spacing
 from tidemark.plans import intents
 from tidemark.schemas import DAY_MS
 
@@ -146,6 +146,17 @@ def test_large_sessions_equal_folded_sessions(spark, seed):
                       for r in got.collect()) == want
 
 
+def test_slices_stay_small_with_a_stray_row_and_a_burst(spark):
+    even = spark.range(40_000).selectExpr("'even' as k", f"{T0} + id * 60000 as t")
+    stray = spark.range(40_000).selectExpr("'stray' as k", f"if(id = 0, 0, {T0} + id * 60000) as t")
+    burst = spark.range(40_000).selectExpr("'burst' as k", f"{T0} + if(id < 30000, id * 120, id * 600000) as t")
+    same = spark.range(40_000).selectExpr("'same' as k", f"{T0} + (id % 80) * {DAY} as t")
+    rows = even.union(stray).union(burst).union(same)
+    marked = slices.mark_hot(rows, ["k"], "t", 16_000).withColumn("slice", F.expr(slices.SLICE))
+    largest = {r.k: r.n for r in marked.groupBy("k", "slice").count().groupBy("k").agg(F.max("count").alias("n")).collect()}
+    assert set(largest) == {"even", "stray", "burst", "same"} and max(largest.values()) <= 2 * 1000, largest
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_sequence_alerts(spark, hot):
     # the same-millisecond pair and the pair a week and a millisecond apart do not count

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 HOT_ROWS = 1_000_000
+HOT_SHARE = 1e-5
+QUANTILES = 64
 ORDER = ["t", "step", "event_id", "seq"]
 
 # Everything that is not hot shares slice -1.
@@ -27,18 +29,25 @@ def busiest(df: DataFrame, keys: list[str]) -> int:
 
 def hot_keys(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS,
              slice_rows: int | None = None) -> DataFrame:
-    """Keys with more than `hot_rows` rows and the slice length that suits their own row rate.
+    """Keys with more than `hot_rows` rows, or HOT_SHARE of all rows where that is more, and their slice length.
 
-    There are at most rows / hot_rows such keys.  A slice holds `slice_rows` rows on average, a
-    sixteenth of `hot_rows` unless told otherwise, which leaves room for bursts.
+    There are at most 1 / HOT_SHARE such keys, however large the data.  The length suits the densest stretch of the
+    key's own rows: in the shortest time that holds 1 / QUANTILES of them, a slice gets `slice_rows` rows, a sixteenth of
+    `hot_rows` unless told otherwise.  So neither a stray old row nor a burst makes a slice much larger; elsewhere slices
+    hold fewer rows, and empty ones do not exist.
     """
     rows = slice_rows or hot_rows / 16
-    length = f"bigint(greatest(1, floor((max({t}) - min({t}) + 1) * {rows} / count(*))))"
+    points = ", ".join(f"{i / QUANTILES}D" for i in range(QUANTILES + 1))
+    total = F.coalesce(df.agg(F.count("*").alias("n")).scalar(), F.lit(0))
+    gaps = f"transform(sequence(1, {QUANTILES}), i -> _q[i] - _q[i - 1] + 1)"
     return (
         df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.expr(length).alias("slice_ms"))
-        .where(F.col("_n") > hot_rows)
-        .drop("_n")
+        .agg(F.count("*").alias("_n"), F.expr(f"percentile_approx({t}, array({points}), 10000)").alias("_q"))
+        .where(F.col("_n") > F.greatest(F.lit(hot_rows), total * HOT_SHARE))
+        .withColumn("slice_ms", F.expr(
+            f"bigint(greatest(1, floor(array_min({gaps}) * {rows} * {QUANTILES} / _n)))"
+        ))
+        .drop("_n", "_q")
     )
 
 
@@ -47,8 +56,8 @@ def mark_hot(df: DataFrame, keys: list[str], t: str, hot_rows: int = HOT_ROWS, l
     """Adds `slice_ms`, null for all but hot keys.
 
     With `largest` known to be within `hot_rows` there is nothing to find, the column is a constant
-    and the optimizer removes every carry branch.  Otherwise the hot keys are joined; their number
-    is bounded by rows / hot_rows, which is what allows the broadcast.
+    and the optimizer removes every carry branch.  Otherwise the hot keys are joined; there are at most
+    100,000 of them (see `hot_keys`), which is what allows the broadcast.
     """
     if largest is not None and largest <= hot_rows:
         return df.withColumn("slice_ms", F.lit(None).cast("bigint"))
