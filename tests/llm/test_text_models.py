@@ -61,6 +61,14 @@ def test_alignment_equals_the_plain_matrix():
         assert decontaminate.align(np.array(a), np.array(b), settings)[0] == max(map(max, h))
 
 
+def test_word_places_and_hashes():
+    for text in [None, "", " ,. ", "One two_3", "L\u2019\u00e9t\u00e9 \u00e0 P\u00e9kin\u2014oui\u00a0non", "x" * 9 + " y" * 120_000, "\u0130x \u4e2d\u6587"]:
+        found, expected = decontaminate._Words(text), decontaminate.words(text)
+        assert [found.data[a:b].decode() for a, b in zip(found.starts, found.ends)] == expected
+        plain = [sum((b + 1) * found.BASE ** i for i, b in enumerate(w.encode())) % 2 ** 64 for w in expected]
+        assert found.hashes().tolist() == plain
+
+
 def leak_fixture():
     rng = random.Random(4)
     vocabulary = [f"v{i}" for i in range(400)] + ["the", "of", "and"] * 60

@@ -12,18 +12,19 @@ through few n-grams that are none of the items', and an exact join drops these.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.llm.common import cut, fresh, map_rows, small_side
 
-_WORD = re.compile(r"\w+")
+# Words are runs of ASCII letters, digits, underscores and characters beyond ASCII that are not punctuation or space.
+_WORD = re.compile(r"[0-9a-z_\u0080-\U0010ffff]+")
+_MARKS = re.compile(r"[\u0080-\u00bf\u1680\u2000-\u206f\u3000-\u303f\ufeff]")
+_IN_WORD = np.array([b >= 0x80 or chr(b).isalnum() or b == ord("_") for b in range(256)])
 # The bitmap has 2 ** BITMAP_BITS bits, two megabytes.
 BITMAP_BITS = 24
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -44,28 +45,63 @@ class Settings:
     gap: int = -1
 
 
-class _Hashes(dict):
-    """Word -> 64-bit hash."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return found
+def _normal(text: str | None) -> str:
+    lowered = (text or "").lower()
+    return lowered if lowered.isascii() else _MARKS.sub(" ", lowered)
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    return _WORD.findall(_normal(text))
+
+
+class _Words:
+    """Where the words of a text begin and end in its UTF-8 bytes, and a hash of each, without a Python object a word.
 
+    The hash of bytes b0, b1, ... is the sum of (bi + 1) * BASE ** i modulo 2 ** 64.
+    """
 
-def grams(tokens: list[str], size: int, hashes: _Hashes) -> np.ndarray:
-    """Hashes of all word n-grams; none for fewer words."""
-    if len(tokens) < size:
-        return np.zeros(0, dtype=np.uint64)
-    single = np.fromiter((hashes[w] for w in tokens), dtype=np.uint64, count=len(tokens))
-    count = len(tokens) - size + 1
+    BASE = 0x100000001B3
+    CHUNK = 50_000
+    _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+    def __init__(self, text: str | None):
+        self.data = _normal(text).encode("utf-8", "replace")
+        self.bytes = np.frombuffer(self.data, dtype=np.uint8)
+        edges = np.flatnonzero(np.diff(_IN_WORD[self.bytes].view(np.int8), prepend=0, append=0))
+        self.starts, self.ends = edges[0::2], edges[1::2]
+
+    @classmethod
+    def _up_to(cls, n: int) -> list[np.ndarray]:
+        """Powers of BASE and of its inverse."""
+        if len(cls._powers[0]) < n:
+            for i, factor in enumerate((cls.BASE, pow(cls.BASE, -1, 1 << 64))):
+                steps = np.full(2 * n, factor, dtype=np.uint64)
+                steps[0] = 1
+                cls._powers[i] = np.cumprod(steps)
+        return cls._powers
+
+    def hashes(self) -> np.ndarray:
+        found = [np.zeros(0, dtype=np.uint64)]
+        for at in range(0, len(self.starts), self.CHUNK):
+            starts, ends = self.starts[at:at + self.CHUNK], self.ends[at:at + self.CHUNK]
+            first = starts[0]
+            powers, inverse = self._up_to(int(ends[-1] - first))
+            part = self.bytes[first:ends[-1]].astype(np.uint64) + np.uint64(1)
+            sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(part * powers[:len(part)])))
+            found.append((sums[ends - first] - sums[starts - first]) * inverse[starts - first])
+        return np.concatenate(found)
+
+    def between(self, first: int, stop: int) -> str:
+        """The words from `first` to before `stop`, with what lies between them."""
+        stop = min(stop, len(self.ends))
+        return self.data[self.starts[first]:self.ends[stop - 1]].decode("utf-8")
+
+
+def grams(single: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all word n-grams from those of the words; none for fewer words."""
+    count = max(0, len(single) - size + 1)
     total = np.zeros(count, dtype=np.uint64)
-    for i in range(size):
+    for i in range(size if count else 0):
         total = (total ^ single[i:i + count]) * _MIX
         total ^= total >> np.uint64(29)
     return total
@@ -74,14 +110,14 @@ def grams(tokens: list[str], size: int, hashes: _Hashes) -> np.ndarray:
 def item_segments(items: DataFrame, settings: Settings) -> DataFrame:
     """(item_id, text) -> (item_id, segment, words, grams): word lists of at most `segment` words and their n-grams."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes, out = _Hashes(), []
+        out = []
         for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             tokens = words(text)
             pieces = max(1, -(-len(tokens) // settings.segment))
             size = -(-len(tokens) // pieces)
             for i in range(pieces):
                 piece = tokens[i * size:(i + 1) * size]
-                found = grams(piece, settings.gram, hashes).view(np.int64)
+                found = grams(_Words(" ".join(piece)).hashes(), settings.gram).view(np.int64)
                 if len(found):
                     out.append((item, i, piece, found.tolist()))
         columns = list(zip(*out)) if out else [[]] * 4
@@ -116,9 +152,9 @@ def _held(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
 def document_counts(docs: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
     """(gram, df): documents with each n-gram the bitmap lets through."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes, out = _Hashes(), []
+        out = []
         for text in batch.column(0).to_pylist():
-            found = grams(words(text), size, hashes)
+            found = grams(_Words(text).hashes(), size)
             out.append(np.unique(found[_held(found, bits)]))
         flat = np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
         return pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["gram"])
@@ -142,35 +178,32 @@ def _hits(docs: DataFrame, key: str, bits: np.ndarray, settings: Settings, longe
     """
     reach = longest + longest // 2 + 8
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            found_rows, gram, at, base, passage = [], [], [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                tokens = words(text)
-                found = grams(tokens, settings.gram, hashes)
-                places = np.flatnonzero(_held(found, bits))
-                if not len(places):
-                    continue
-                for group in np.split(places, np.flatnonzero(np.diff(places // (2 * reach))) + 1):
-                    start, stop = max(0, group[0] - reach), group[-1] + settings.gram + reach
-                    piece = " ".join(tokens[start:stop])
-                    found_rows += [i] * len(group)
-                    gram += found[group].view(np.int64).tolist()
-                    at += group.tolist()
-                    base += [int(start)] * len(group)
-                    passage += [piece] * len(group)
-            if found_rows:
-                rows = pa.array(found_rows)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(rows), batch.column(1).take(rows), pa.array(gram), pa.array(at, pa.int32()),
-                    pa.array(base, pa.int32()), pa.array(passage),
-                ], names=["key", "row", "gram", "at", "base", "passage"])
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, gram, at, base, passage = [], [], [], [], []
+        for i, text in enumerate(batch.column(2).to_pylist()):
+            tokens = _Words(text)
+            found = grams(tokens.hashes(), settings.gram)
+            places = np.flatnonzero(_held(found, bits))
+            if not len(places):
+                continue
+            for group in np.split(places, np.flatnonzero(np.diff(places // (2 * reach))) + 1):
+                start = max(0, int(group[0]) - reach)
+                piece = tokens.between(start, int(group[-1]) + settings.gram + reach)
+                rows += [i] * len(group)
+                gram += found[group].view(np.int64).tolist()
+                at += group.tolist()
+                base += [start] * len(group)
+                passage += [piece] * len(group)
+        taken = pa.array(rows, pa.int32())
+        return pa.RecordBatch.from_arrays([
+            batch.column(0).take(taken), batch.column(1).take(taken), pa.array(gram, pa.int64()), pa.array(at, pa.int32()),
+            pa.array(base, pa.int32()), pa.array(passage, pa.string()),
+        ], names=["key", "row", "gram", "at", "base", "passage"])
 
     source = docs.select(F.col(key).alias("key"), row_mark().alias("row"), "text")
     schema = StructType([StructField("key", source.schema["key"].dataType), *StructType.fromDDL(
         "row long, gram long, at int, base int, passage string").fields])
-    return source.mapInArrow(run, schema)
+    return map_rows(source, run, schema)
 
 
 def row_mark() -> Column:
@@ -210,7 +243,7 @@ def aligned_span(item: list[str], passage: list[str], settings: Settings) -> tup
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """(key, row, item_id, segment, score, first_word, last_word) of every copy, the best of each document and segment.
 
-    Words are runs of letters, digits and underscores, compared in lower case.  Items with fewer words than a seed,
+    Words are compared in lower case, without punctuation.  Items with fewer words than a seed,
     null and empty texts match nothing.  Repeated documents each match (equal key and text: once); a null key is
     kept as null.  Other columns are not read.
     """
@@ -234,7 +267,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", settings: Se
         low, high, base = (batch.column(i).to_pylist() for i in (4, 5, 6))
         score, first, last = [], [], []
         for i, (passage, item) in enumerate(zip(batch.column(7).to_pylist(), batch.column(8).to_pylist())):
-            tokens, slack = passage.split(" "), len(item) // 2 + 8
+            tokens, slack = _WORD.findall(passage), len(item) // 2 + 8
             start = max(0, low[i] - slack - base[i])
             share, a, b = aligned_span(item, tokens[start:high[i] + len(item) + slack - base[i]], settings)
             score.append(share)
