@@ -172,9 +172,9 @@ def seeds(segments: DataFrame, counts: DataFrame, stretch: int) -> DataFrame:
 
 
 def _hits(docs: DataFrame, key: str, bits: np.ndarray, settings: Settings, longest: int) -> DataFrame:
-    """(key, row, gram, at, base, passage): each hit with the words around it.
+    """(key, row, base, grams, places, passage): neighbouring hits with the words around them, once for each text.
 
-    Neighbouring hits share a passage of at most 4 * reach words; `base` is the place of its first word.
+    A passage has at most 4 * reach words; `base` is the place of its first word.
     """
     reach = longest + longest // 2 + 8
 
@@ -189,21 +189,21 @@ def _hits(docs: DataFrame, key: str, bits: np.ndarray, settings: Settings, longe
             for group in np.split(places, np.flatnonzero(np.diff(places // (2 * reach))) + 1):
                 start = max(0, int(group[0]) - reach)
                 piece = tokens.between(start, int(group[-1]) + settings.gram + reach)
-                rows += [i] * len(group)
-                gram += found[group].view(np.int64).tolist()
-                at += group.tolist()
-                base += [start] * len(group)
-                passage += [piece] * len(group)
+                rows.append(i)
+                gram.append(found[group].view(np.int64).tolist())
+                at.append(group.tolist())
+                base.append(start)
+                passage.append(piece)
         taken = pa.array(rows, pa.int32())
         return pa.RecordBatch.from_arrays([
-            batch.column(0).take(taken), batch.column(1).take(taken), pa.array(gram, pa.int64()), pa.array(at, pa.int32()),
-            pa.array(base, pa.int32()), pa.array(passage, pa.string()),
-        ], names=["key", "row", "gram", "at", "base", "passage"])
+            batch.column(0).take(taken), batch.column(1).take(taken), pa.array(base, pa.int32()),
+            pa.array(gram, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int32())), pa.array(passage, pa.string()),
+        ], names=["key", "row", "base", "grams", "places", "passage"])
 
     source = docs.select(F.col(key).alias("key"), row_mark().alias("row"), "text")
     schema = StructType([StructField("key", source.schema["key"].dataType), *StructType.fromDDL(
-        "row long, gram long, at int, base int, passage string").fields])
-    return map_rows(source, run, schema)
+        "row long, base int, grams array<long>, places array<int>, passage string").fields])
+    return map_rows(source, run, schema).dropDuplicates(["key", "row", "base"])
 
 
 def row_mark() -> Column:
@@ -252,12 +252,15 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", settings: Se
     longest = segments.agg(F.coalesce(F.max(F.size("words")), F.lit(0))).first()[0]
     counts = cut(document_counts(docs, bitmap(every), settings.gram).join(every, "gram", "left_semi"))
     seeded = cut(seeds(segments, counts, settings.stretch))
-    hits = _hits(docs, key, bitmap(seeded), settings, longest)
+    hits = cut(_hits(docs, key, bitmap(seeded), settings, longest))
     wanted = small_side(seeded.withColumnRenamed("at", "item_at"))
-    gathered = hits.join(wanted, "gram").groupBy("key", "row", "base", "item_id", "segment").agg(
-        F.min(F.col("at") - F.col("item_at")).alias("low"), F.max(F.col("at") - F.col("item_at")).alias("high"),
-        F.first("passage").alias("passage"),
+    each = hits.select("key", "row", "base", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("places").alias("at"))))
+    gathered = each.join(wanted, "gram").groupBy("key", "row", "base", "item_id", "segment").agg(
+        F.min(F.col("at") - F.col("item_at")).alias("low"), F.max(F.col("at") - F.col("item_at")).alias("high")
     )
+    # the passages join only once, to what is left of the hits
+    same = F.col("g.key").eqNullSafe(F.col("h.key")) & (F.col("g.row") == F.col("h.row")) & (F.col("g.base") == F.col("h.base"))
+    gathered = gathered.alias("g").join(hits.alias("h"), same).select("g.*", "h.passage")
     texts = segments.select(F.col("item_id").alias("_item"), F.col("segment").alias("_segment"), "words")
     pairs = gathered.join(
         texts, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("segment") == F.col("_segment"))
