@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.session import ensure_checkpoint_dir
@@ -47,6 +47,15 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(kept) if kept.count() <= rows else kept
 
 
+def hashed_share(wanted: int, available: int, *columns: str) -> Column:
+    """True for about twice `wanted` of `available` rows, chosen by a hash.
+
+    In front of an ordered limit it keeps what the partitions send at a bounded size however many there are.
+    """
+    steps = 1 << 40
+    return F.pmod(F.xxhash64(F.lit("sample"), *columns), F.lit(steps)) < F.lit(min(steps, 2 * steps * wanted // max(1, available)))
+
+
 def map_rows(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str
 ) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidemark.llm.common import map_rows
+from tidemark.llm.common import hashed_share, map_rows
 from tidemark.llm.html_blocks import Block, leaf_blocks
 
 # Bounds of the training sample: pages, characters of a page, blocks of a page.
@@ -288,9 +288,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", body: str
     null or empty page has an empty text; repeated pages and null keys stay as they are; other columns are not read.
     """
     source = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(body).alias("body"))
-    chosen = source.where(F.char_length("body").between(1, SAMPLE_CHARS)).select("body").orderBy(
-        F.xxhash64("body"), "body"
-    ).limit(sample)
+    fit = source.where(F.char_length("body").between(1, SAMPLE_CHARS)).select("key", "body")
+    chosen = fit.where(hashed_share(sample, source.count(), "key", "body")).select("body").orderBy(F.xxhash64("body"), "body").limit(sample)
     model = train([r[0] for r in chosen.collect()])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
