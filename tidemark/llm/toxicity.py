@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, BooleanType, DoubleType, StructField, StructType
 
-from tidemark.llm.common import map_rows
+from tidemark.llm.common import hashed_share, map_rows
 
 # At most so many labelled rows are used for training, half of them with the last category set.
 TRAINING_ROWS = 12_000
@@ -149,9 +149,10 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], key: str =
     total = {r[last]: r["count"] for r in known.groupBy(last).count().collect()}
     order = F.xxhash64("key"), F.col("key")
     half = max(1, rows // 2)
-    sample = known.where(F.col(last) == 1).orderBy(*order).limit(half).union(
-        known.where(F.col(last) == 0).orderBy(*order).limit(half)
+    with_1, with_0 = (
+        known.where((F.col(last) == v) & hashed_share(half, total.get(v, 0), "key")).orderBy(*order).limit(half) for v in (1, 0)
     )
+    sample = with_1.union(with_0)
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
         buckets = _Buckets()
