@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import cut, deal
+from tidemark.llm.common import cut, deal, hashed_share
 from tidemark.llm.graph import components
 
 SAMPLE = 20_000
@@ -272,7 +272,9 @@ def near_duplicates(
     )
     if not count:
         return alone.withColumnRenamed("key", key)
-    fitted = reps.select("v").orderBy(F.xxhash64("node")).limit(sample).toPandas()["v"]
+    fitted = reps.where(hashed_share(sample, count, "node")).select("v", "node").orderBy(
+        F.xxhash64("node"), "node"
+    ).limit(sample).toPandas()["v"]
     points = np.zeros((len(fitted), dim))
     for i, values in enumerate(fitted):
         points[i, :len(values)] = values
