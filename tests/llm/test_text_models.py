@@ -113,6 +113,24 @@ def test_exact_and_edited_copies_are_found_and_clean_documents_stay(spark):
     assert decontaminate.matches(frame.limit(0), tests).count() == 0
 
 
+def test_a_single_copy_edited_every_sixth_word_is_found(spark):
+    item = [f"rare{i}" for i in range(23)]
+    copy = ["edited" if i in (0, 6, 12, 18) else w for i, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, "before it " + " ".join(copy) + " after it"), (2, "before it after it")], "doc_id long, text string")
+    tests = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    (found,) = decontaminate.matches(docs, tests).collect()
+    assert (found.doc_id, found.item_id, found.first_word, found.last_word) == (1, 7, 3, 24)
+    assert found.score == (2 * 19 - 3) / 46
+
+
+def test_skipped_alignments_could_not_have_scored():
+    settings, rng = decontaminate.Settings(), random.Random(3)
+    for _ in range(300):
+        item, passage = ([str(rng.randrange(9)) for _ in range(rng.randint(3, 9))] for _ in range(2))
+        if not decontaminate.may_reach(item, passage, settings):
+            assert decontaminate.aligned_span(item, passage, settings)[0] < settings.least
+
+
 PAGE = """<html><head><title>T</title></head><body><header><h1>Site</h1></header><div class="cookie-notice">We use
 cookies</div><nav><a href=x>Home</a></nav><main><article><h1>Head line</h1><p>First&nbsp; para &amp; two.<div class="ad">buy
 </div><p><b>Second<br>line</b> of <i>te</i>xt.</p><!-- x --></article><section class="comments"><p>nice</p></section></main>

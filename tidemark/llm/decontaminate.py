@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Test items are cut into segments.  Of every few neighbouring word n-grams of a segment the one that the fewest training
-documents hold becomes a seed.  Training texts are searched for seeds; around each hit the passage is aligned
-with the segment, word by word, and scored against the segment's own score.  Edited and paraphrased copies keep
-some seeds and most of the alignment.
+Test items are cut into segments.  Every word n-gram of a segment is a seed, so one that an edit left whole is enough.
+Training texts are searched for seeds; around each hit the passage is aligned with the segment, word by word, and
+scored against the segment's own score.  Edited and paraphrased copies keep some seeds and most of the alignment.
+Most pairs that only a common n-gram brings together share too few words to reach the least score; they are not aligned.
 
 A pass over the texts needs only a bitmap of fixed size on each executor, whatever the number of items: it lets
 through few n-grams that are none of the items', and an exact join drops these.
@@ -32,12 +32,11 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """gram: words of a seed.  stretch: one seed for so many neighbouring n-grams.  segment: most words of an item that
-    are aligned at once.  least: share of a segment's own score that makes a passage a copy.
+    """gram: words of a seed.  segment: most words of an item that are aligned at once.
+    least: share of a segment's own score that makes a passage a copy.
     match, mismatch, gap: Smith-Waterman scores."""
 
     gram: int = 3
-    stretch: int = 3
     segment: int = 256
     least: float = 0.5
     match: int = 2
@@ -149,28 +148,6 @@ def _held(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
 
 
-def document_counts(docs: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
-    """(gram, df): documents with each n-gram the bitmap lets through."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for text in batch.column(0).to_pylist():
-            found = grams(_Words(text).hashes(), size)
-            out.append(np.unique(found[_held(found, bits)]))
-        flat = np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["gram"])
-
-    return map_rows(docs.select("text"), run, "gram long").groupBy("gram").agg(F.count("*").alias("df"))
-
-
-def seeds(segments: DataFrame, counts: DataFrame, stretch: int) -> DataFrame:
-    """(gram, item_id, segment, at): the rarest n-gram of each stretch; ties by the gram's hash, then its place."""
-    every = segments.select("item_id", "segment", F.posexplode("grams").alias("at", "gram"))
-    counted = every.join(counts, "gram", "left")
-    best = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram", "at")).alias("seed")
-    chosen = counted.groupBy("item_id", "segment", F.floor(F.col("at") / stretch).alias("stretch")).agg(best)
-    return chosen.select(F.col("seed.gram").alias("gram"), "item_id", "segment", F.col("seed.at").alias("at"))
-
-
 def _hits(docs: DataFrame, key: str, bits: np.ndarray, settings: Settings, longest: int) -> DataFrame:
     """(key, row, base, grams, places, passage): neighbouring hits with the words around them, once for each text.
 
@@ -240,31 +217,34 @@ def aligned_span(item: list[str], passage: list[str], settings: Settings) -> tup
     return score / (settings.match * len(item)), end - back, end
 
 
+def may_reach(item: list[str], passage: list[str], settings: Settings) -> bool:
+    """False where so few words of the item occur in the passage that no alignment has the least score."""
+    held = set(passage)
+    return sum(w in held for w in item) >= settings.least * len(item)
+
+
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """(key, row, item_id, segment, score, first_word, last_word) of every copy, the best of each document and segment.
 
-    Words are compared in lower case, without punctuation.  Items with fewer words than a seed,
-    null and empty texts match nothing.  Repeated documents each match (equal key and text: once); a null key is
+    Words are compared in lower case, without punctuation.  A copy in which no `gram` words of the segment still stand
+    together is not found.  Items with fewer words than a seed, null and empty texts match nothing.  Repeated documents each match (equal key and text: once); a null key is
     kept as null.  Other columns are not read.
     """
     segments = cut(item_segments(items.distinct(), settings))
-    every = segments.select(F.explode("grams").alias("gram")).distinct()
+    seeded = cut(segments.select("item_id", "segment", F.posexplode("grams").alias("item_at", "gram")))
     longest = segments.agg(F.coalesce(F.max(F.size("words")), F.lit(0))).first()[0]
-    counts = cut(document_counts(docs, bitmap(every), settings.gram).join(every, "gram", "left_semi"))
-    seeded = cut(seeds(segments, counts, settings.stretch))
     hits = cut(_hits(docs, key, bitmap(seeded), settings, longest))
-    wanted = small_side(seeded.withColumnRenamed("at", "item_at"))
+    wanted = small_side(seeded)
     each = hits.select("key", "row", "base", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("places").alias("at"))))
     gathered = each.join(wanted, "gram").groupBy("key", "row", "base", "item_id", "segment").agg(
         F.min(F.col("at") - F.col("item_at")).alias("low"), F.max(F.col("at") - F.col("item_at")).alias("high")
     )
-    # the passages join only once, to what is left of the hits
-    same = F.col("g.key").eqNullSafe(F.col("h.key")) & (F.col("g.row") == F.col("h.row")) & (F.col("g.base") == F.col("h.base"))
-    gathered = gathered.alias("g").join(hits.alias("h"), same).select("g.*", "h.passage")
     texts = segments.select(F.col("item_id").alias("_item"), F.col("segment").alias("_segment"), "words")
-    pairs = gathered.join(
-        texts, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("segment") == F.col("_segment"))
-    ).select("key", "row", "item_id", "segment", "low", "high", "base", "passage", "words")
+    gathered = gathered.join(texts, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("segment") == F.col("_segment")))
+    # the passages, the widest column, join last and only once
+    same = F.col("g.key").eqNullSafe(F.col("h.key")) & (F.col("g.row") == F.col("h.row")) & (F.col("g.base") == F.col("h.base"))
+    pairs = gathered.alias("g").join(hits.alias("h"), same).select(
+        "g.key", "g.row", "item_id", "segment", "low", "high", "g.base", "passage", "words")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         low, high, base = (batch.column(i).to_pylist() for i in (4, 5, 6))
@@ -272,7 +252,8 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", settings: Se
         for i, (passage, item) in enumerate(zip(batch.column(7).to_pylist(), batch.column(8).to_pylist())):
             tokens, slack = _WORD.findall(passage), len(item) // 2 + 8
             start = max(0, low[i] - slack - base[i])
-            share, a, b = aligned_span(item, tokens[start:high[i] + len(item) + slack - base[i]], settings)
+            near = tokens[start:high[i] + len(item) + slack - base[i]]
+            share, a, b = aligned_span(item, near, settings) if may_reach(item, near, settings) else (0.0, 0, 0)
             score.append(share)
             first.append(base[i] + start + a)
             last.append(base[i] + start + b)
