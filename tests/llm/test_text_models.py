@@ -207,6 +207,24 @@ def test_urls_rules_and_purity(spark):
     assert urls.filter_urls(pages.limit(0), labels, RULES).count() == 0
 
 
+def test_inner_branches_are_merged_level_by_level(spark):
+    urls_of = {f"http://bad/s{'abcdefghij'[i % 10]}{'klmn'[i // 10]}/{j}": 0 for i in range(40) for j in range(5)}
+    urls_of |= {f"http://good/{j}": 1 for j in range(1200)}
+    # below one host: /x/a/* and /x/b/* are alike and bad, /y/* is good, /z has no label
+    urls_of |= {f"http://both/x/{a}/{j}": 0 for a in "ab" for j in range(8)} | {f"http://both/y/{j}": 1 for j in range(200)}
+    urls_of |= {"http://both/x/c/d/1": None, "http://both/z": None}
+    rows = list(enumerate(urls_of))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, urls_of[u]) for i, u in rows], "page_id long, good int")
+    got = {r.path if r.host == "both" else r.host: r for r in urls.filter_urls(pages, labels, []).collect()}
+    share = 1400 / 1616
+    assert got["bad"].verdict == "block" and got["bad"].branch == "" and got["good"].verdict == "allow"
+    assert abs(got["bad"].branch_purity - 10 * share / 210) < 1e-12
+    for path in ("/x/a/1", "/x/b/2", "/x/c/d/1"):
+        assert (got[path].verdict, got[path].branch) == ("block", "x") and abs(got[path].branch_purity - 10 * share / 26) < 1e-12
+    assert (got["/y/3"].verdict, got["/y/3"].branch) == ("allow", "y") and (got["/z"].verdict, got["/z"].branch) == ("allow", "")
+
+
 def test_crowded_places_become_wildcards(spark):
     names = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
     pages = spark.createDataFrame([(i, f"http://h/user/{n}/about") for i, n in enumerate(names)], "page_id long, url string")

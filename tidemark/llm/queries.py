@@ -67,10 +67,13 @@ URL_RULES = [
 
 
 def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages judged by the rules and by the purity of their template; a page's label is that of its document."""
+    """All pages judged by the rules and by the purity of their merged branch; a page's label is that of its document.
+
+    `purity` is the template's own.
+    """
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urls.filter_urls(pages, labels, URL_RULES)
+    return urls.filter_urls(pages, labels, URL_RULES).drop("branch", "branch_purity")
 
 
 CHAT_SAMPLE = r"\### Assistant: </turn> ok"

@@ -3,8 +3,8 @@
 The paths of each host are cut into segments.  A segment with a digit, or one of very many different ones at its place,
 becomes a wildcard, so that the paths fall into templates, the nodes of a tree.  Labelled pages give every
 template counts of good and bad.  A branch whose bad rate does not differ significantly from that of its siblings is
-merged with them.  Templates are rejected by purity, the smoothed share of good pages.  Explicit rules for hosts and
-path prefixes come first, the longest deciding.
+merged with them, level by level up to the host.  Templates are rejected by the purity, the smoothed share of good pages,
+of the highest merged branch they belong to.  Explicit rules for hosts and path prefixes come first, the longest deciding.
 
 Everything is a DataFrame plan: pages are aggregated to (host, template) before any shuffle of more than counts.
 """
@@ -81,40 +81,96 @@ def _widened(counts: DataFrame, branches: int) -> DataFrame:
     return rebuilt.select("host", "segments", "good", "bad", F.transform("w", lambda x: x["word"]).alias("template"))
 
 
+def _apart(z: float) -> Column:
+    """Whether the bad rate of good, bad differs from that of the rest of all_good, all_bad."""
+    n, others = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad") - F.col("good") - F.col("bad")
+    pooled = F.try_divide("all_bad", F.col("all_good") + F.col("all_bad"))
+    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), n) + F.try_divide(F.lit(1.0), others)))
+    score = F.try_divide(F.abs(F.try_divide("bad", n) - F.try_divide(F.col("all_bad") - F.col("bad"), others)), spread)
+    stays = (n > 0) & (others > 0) & (pooled > 0) & (pooled < 1)
+    return F.coalesce(F.when(stays, score >= z), F.lit(False))
+
+
+def merged_branches(branches: DataFrame, z: float) -> DataFrame:
+    """(host, template, good, bad) -> (host, template, branch, b_good, b_bad): the highest merged branch of each template.
+
+    Bottom-up, the nodes below one node are compared.  Those that differ from their siblings stay branches of their own;
+    the others become one with what they hold and go on as the node above.  Levels at which no node has siblings change
+    nothing and are passed over.
+    """
+    def above(node: str, level) -> Column:
+        return F.slice(node, F.lit(1), level)
+
+    nodes = branches.where(F.size("template") > 0).select(
+        "host", "template", F.explode(F.sequence(F.lit(1), F.size("template"))).alias("level")
+    ).withColumn("node", above("template", F.col("level")))
+    families = nodes.select("host", "level", "node").distinct().groupBy("host", "level", above("node", F.col("level") - 1))
+    levels = sorted((r.level for r in families.count().where("count > 1").select("level").distinct().collect()), reverse=True)
+    counts = [F.sum(c).alias(c) for c in ("good", "bad")]
+    rest, marked = branches.select("host", F.col("template").alias("node"), "good", "bad"), []
+    for level in levels:
+        at = rest.where(F.size("node") >= level).groupBy("host", above("node", F.lit(level)).alias("node")).agg(*counts)
+        at = cut(at.withColumn("parent", above("node", F.lit(level - 1))))
+        family = at.groupBy("host", "parent").agg(F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
+        marked.append(cut(at.join(family, ["host", "parent"]).withColumn("apart", _apart(z))))
+        going_on = marked[-1].where("not apart").select("host", F.col("parent").alias("node"), "good", "bad")
+        rest = cut(rest.where(F.size("node") < level).unionByName(going_on))
+    root = rest.groupBy("host").agg(F.sum("good").alias("r_good"), F.sum("bad").alias("r_bad"))
+    named = branches.select("host", "template")
+    if not marked:
+        empty = F.array().cast("array<string>")
+        return named.join(root, "host").select("host", "template", empty.alias("branch"), F.col("r_good").alias("b_good"),
+                                               F.col("r_bad").alias("b_bad"))
+    own = marked[0].where("apart")
+    for more in marked[1:]:
+        own = own.unionByName(more.where("apart"))
+    # the first branch that stays apart on the way up is the deepest one
+    deepest = nodes.join(own.select("host", "node", "good", "bad"), ["host", "node"]).groupBy("host", "template").agg(
+        F.max(F.struct("level", "good", "bad")).alias("own")
+    )
+    inside = F.coalesce(F.col("own.level"), F.lit(0))
+    return named.join(deepest, ["host", "template"], "left").join(root, "host", "left").select(
+        "host", "template", above("template", inside).alias("branch"),
+        F.coalesce("own.good", "r_good").alias("b_good"), F.coalesce("own.bad", "r_bad").alias("b_bad"),
+    )
+
+
 def judged_templates(counts: DataFrame, settings: Filter = Filter()) -> DataFrame:
-    """(host, segments, good, bad) -> (host, segments, template, merged, purity, verdict), one row per input row.
+    """(host, segments, good, bad) -> (host, segments, template, merged, purity, branch, branch_purity, verdict), one row
+    per input row.
 
-    Without any label the overall share of good pages counts as 1 and nothing is rejected.
+    `purity` is that of the template, or of its merged siblings with equally many segments; `branch_purity`, which decides,
+    is that of the highest merged branch.  Without any label the overall share of good pages counts as 1 and nothing is
+    rejected.
     """
     widened = cut(_widened(counts, settings.branches))
     parent = F.slice("template", F.lit(1), F.greatest(F.size("template") - 1, F.lit(0)))
-    branches = widened.groupBy("host", "template").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).withColumn(
+    branches = cut(widened.groupBy("host", "template").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).withColumn(
         "parent", F.struct(F.size("template").alias("depth"), parent.alias("above"))
-    )
+    ))
     family = branches.groupBy("host", "parent").agg(F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
-    joined = branches.join(family, ["host", "parent"])
-    n, others = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad") - F.col("good") - F.col("bad")
-    pooled = F.try_divide("all_bad", F.col("all_good") + F.col("all_bad"))
-    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), n) + F.try_divide(F.lit(1.0), others)))
-    z = F.try_divide(F.abs(F.try_divide("bad", n) - F.try_divide(F.col("all_bad") - F.col("bad"), others)), spread)
-    stays = (n > 0) & (others > 0) & (pooled > 0) & (pooled < 1)
-    apart = F.coalesce(F.when(stays, z >= settings.z), F.lit(False))
-    marked = joined.withColumn("merged", ~apart)
+    marked = branches.join(family, ["host", "parent"]).withColumn("merged", ~_apart(settings.z))
     # the merged siblings of a parent are one branch, counted without those that stay apart
     together = marked.where("merged").groupBy("host", "parent").agg(
         F.sum("good").alias("m_good"), F.sum("bad").alias("m_bad")
     )
     total = branches.agg(F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     share = total[0] / (total[0] + total[1]) if total[0] + total[1] else 1.0
+
+    def smoothed(good: Column, bad: Column) -> Column:
+        return (good + F.lit(settings.prior * share)) / (good + bad + F.lit(settings.prior))
+
     good = F.when(F.col("merged"), F.col("m_good")).otherwise(F.col("good"))
     bad = F.when(F.col("merged"), F.col("m_bad")).otherwise(F.col("bad"))
-    purity = (good + F.lit(settings.prior * share)) / (good + bad + F.lit(settings.prior))
-    verdicts = marked.join(together, ["host", "parent"], "left").select(
-        "host", "template", "merged", purity.alias("purity"),
-        F.when(purity < settings.purity, "block").otherwise("allow").alias("verdict"),
+    highest = merged_branches(branches, settings.z)
+    judged = smoothed(F.col("b_good"), F.col("b_bad"))
+    verdicts = marked.join(together, ["host", "parent"], "left").join(highest, ["host", "template"]).select(
+        "host", "template", "merged", smoothed(good, bad).alias("purity"), "branch", judged.alias("branch_purity"),
+        F.when(judged < settings.purity, "block").otherwise("allow").alias("verdict"),
     )
     return widened.select("host", "segments", "template").join(verdicts, ["host", "template"]).select(
-        "host", "segments", F.array_join("template", "/").alias("template"), "merged", "purity", "verdict"
+        "host", "segments", F.array_join("template", "/").alias("template"), "merged", "purity",
+        F.array_join("branch", "/").alias("branch"), "branch_purity", "verdict"
     )
 
 
@@ -122,7 +178,7 @@ def filter_urls(
     pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]], key: str = "page_id", url: str = "url",
     settings: Filter = Filter(),
 ) -> DataFrame:
-    """One row per page: key, host, path, rule, verdict, template, purity.
+    """One row per page: key, host, path, rule, verdict, template, purity, branch, branch_purity.
 
     `labels` has the page's key and `good`, 1 or 0; null labels and labels of other pages are ignored, of repeated
     labels the least counts.  Null urls have an empty host and path and form a template of their own.  Repeated
@@ -140,5 +196,6 @@ def filter_urls(
     rule = matched_rule(F.col("host"), F.col("path"), rules)
     return segmented.join(judged, ["host", "segments"]).withColumn("_rule", rule).select(
         F.col("_key").alias(key), "host", "path", F.col("_rule.rule").alias("rule"),
-        F.coalesce("_rule.verdict", "_judged").alias("verdict"), "template", "purity",
+        F.coalesce("_rule.verdict", "_judged").alias("verdict"), "template", "purity", "branch",
+        "branch_purity",
     )
