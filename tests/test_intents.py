@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +147,32 @@ def test_large_sessions_equal_folded_sessions(spark, seed):
                       for r in got.collect()) == want
 
 
+def test_slices_of_a_session_follow_the_rank_and_are_combined_in_rounds(spark, monkeypatch):
+    """A millisecond that holds a 25th of the rows neither makes each other row a slice nor is one slice."""
+    rng = random.Random(9)
+    events = [event(i, "hot", T0 + (5 * DAY if i % 25 == 0 else i * 40 * 60_000), "furniture",
+                    rng.choice([0.5, 30.0, 700.0, -90.0])) for i in range(1500)]
+    events += [event(2000 + i, "other", T0 + i * HOUR, "furniture", 90.0) for i in range(200)]
+    df = frame(spark, events)
+    sliced = sessions._by_rank(sessions.home_transactions(df), 20)
+    sizes = [r["count"] for r in sliced.groupBy("customer_id", "slice").count().collect()]
+    assert sum(sizes) == 1700 and max(sizes) <= 20
+    assert len(sizes) <= 1700 // 20 + 2 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(sessions, "FAN", 2)
+    got = sessions.home_session_triggers(df, fold_rows=64, slice_rows=20).collect()
+    want = sorted((c, m, i, spend, length) for c, p, m, i, spend, length in naive.run(events)[0] if p == "home_loan")
+    assert len(want) > 20 and sorted((r.customer_id, r.event_ts_ms, r.event_id, r.spend, r.session_window_ms) for r in got) == want
+
+
+def test_summaries_keep_only_what_can_be_looked_up():
+    rows = pd.DataFrame({"event_ts_ms": range(1000), "event_id": range(1000), "cents": [10_000] * 1000, "debt": 0})
+    (tops,) = sessions._summary(("c", 0), rows)["tops"]
+    assert len(tops) == 21 and tops[-1] > sessions.LIMIT_CENTS
+    rows["debt"] = 50_000
+    (tops,) = sessions._summary(("c", 0), rows)["tops"]
+    assert tops[-1] > sessions.LIMIT_CENTS + 50_000 and len(tops) <= 26
+
+
 def test_slices_stay_small_with_a_stray_row_and_a_burst(spark):
     even = spark.range(40_000).selectExpr("'even' as k", f"{T0} + id * 60000 as t")
     stray = spark.range(40_000).selectExpr("'stray' as k", f"if(id = 0, 0, {T0} + id * 60000) as t")

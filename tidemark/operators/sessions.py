@@ -2,28 +2,36 @@
 
 The running state depends on every earlier event of the customer, so it is a fold.  Customers with up
 to `fold_rows` home transactions are folded by a built-in array aggregate.  The rows of a larger
-customer are cut into time slices; each slice is reduced, in parallel, to what it does to any state it
-may start with, those small summaries are chained per customer, and the slices are then replayed in
-parallel from their known start.
+customer are cut by their rank into slices of at most `slice_rows`; each slice is reduced, in parallel, to
+what it does to any state it may start with.  Up to FAN neighbouring summaries are combined into one until
+each customer has at most FAN; from there the start states are handed down again, and the slices are replayed
+in parallel from their known start.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.slices import SLICE, mark_hot
+from tidemark.operators.slices import mark_hot
 from tidemark.schemas import HOME_CATEGORIES, HOME_SESSION_LIMIT, WEEK_MS
+from tidemark.session import ensure_checkpoint_dir
 
 FOLD_ROWS = 10_000
 SLICE_ROWS = 100_000
+FAN = 16
 LIMIT_CENTS = HOME_SESSION_LIMIT * 100
 
 TRIGGER = "event_ts_ms bigint, event_id bigint, spend_cents bigint, session_window_ms bigint"
 STATE = "struct<spend:bigint,start:bigint,last:bigint>"
+SUMMARY = (
+    f"customer_id string, slice bigint, first_ms bigint, last_ms bigint, total bigint, debt bigint, tops array<bigint>, "
+    f"states array<{STATE}>, paused boolean, after_pause {STATE}"
+)
 
 
 def home_transactions(events: DataFrame) -> DataFrame:
@@ -42,9 +50,9 @@ def home_session_triggers(events: DataFrame, fold_rows: int = FOLD_ROWS, slice_r
     if largest is not None and largest <= fold_rows:
         fired = _fold(home)
     else:
-        marked = mark_hot(home, ["customer_id"], "event_ts_ms", fold_rows, slice_rows=slice_rows)
+        marked = mark_hot(home, ["customer_id"], "event_ts_ms", fold_rows)
         fired = _fold(marked.where("slice_ms is null")).unionByName(
-            _replay_slices(marked.where("slice_ms is not null"))
+            _replay_slices(marked.where("slice_ms is not null").drop("slice_ms"), slice_rows)
         )
     return fired.selectExpr("customer_id", "event_id", "event_ts_ms", "spend_cents / 100 as spend", "session_window_ms")
 
@@ -84,7 +92,7 @@ class _Slice:
     """One customer's rows of one slice, in event order."""
 
     def __init__(self, rows: pd.DataFrame):
-        rows = rows.sort_values(["event_ts_ms", "event_id"])
+        rows = rows.sort_values(["event_ts_ms", "event_id", "cents"])
         self.ms = rows["event_ts_ms"].to_numpy("int64")
         self.ids = rows["event_id"].to_numpy("int64")
         cents = rows["cents"].to_numpy("int64")
@@ -144,71 +152,134 @@ def _summary(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
     Which event fires first depends only on how much is still missing; it is the first event whose
     sum within the slice exceeds that, so only new maxima of the sum matter.  Neighbouring maxima
-    that leave the same state are merged.
+    that leave the same state are merged.  A state misses between nothing and the limit plus `debt`, all refunds
+    of the customer; maxima that this range cannot reach are dropped.
     """
     part, known = _Slice(rows), {}
     end = part.end_of(0)
     peaks = np.maximum.accumulate(part.sums[:end])
     records = np.flatnonzero(np.append(True, peaks[1:] > peaks[:-1]))
-    tops, states = [], []
-    for r in records:
-        state = part.exit_state(int(r) + 1, known)
-        if states and states[-1] == state:
-            tops[-1] = int(peaks[r])
-        else:
-            tops.append(int(peaks[r]))
-            states.append(state)
+    debt = int(rows["debt"].iloc[0])
+    tops, states = _entries(((int(peaks[r]), part.exit_state(int(r) + 1, known)) for r in records), debt)
     return pd.DataFrame([{
         "customer_id": key[0], "slice": key[1], "first_ms": int(part.ms[0]), "last_ms": int(part.ms[-1]),
-        "total": int(part.sums[-1]), "tops": tops, "states": [_named(s) for s in states],
+        "total": int(part.sums[-1]), "debt": debt, "tops": tops, "states": [_named(s) for s in states],
         "paused": end < part.n, "after_pause": _named(part.exit_state(end, known) if end < part.n else None),
     }])
 
 
+def _entries(found: Iterable[tuple[int, tuple | None]], debt: int) -> tuple[list, list]:
+    """Rising sums and the states they leave, without those that no state can look up; equal neighbours are merged."""
+    tops, states = [], []
+    for top, state in found:
+        if top <= (tops[-1] if tops else 0):
+            continue
+        if states and states[-1] == state:
+            tops[-1] = top
+        else:
+            tops.append(top)
+            states.append(state)
+        if top > LIMIT_CENTS + debt:
+            break
+    return tops, states
+
+
 def _named(state: tuple | None) -> dict | None:
     return None if state is None else dict(zip(("spend", "start", "last"), state))
 
 
-def _chain(key: tuple, slices: pd.DataFrame) -> pd.DataFrame:
-    """Start state of each slice of one customer, from the slice summaries in time order."""
-    rows, state = [], None
+def _state(named) -> tuple | None:
+    return None if named is None else (int(named["spend"]), int(named["start"]), int(named["last"]))
+
+
+def _after(s, state: tuple | None) -> tuple | None:
+    """State after the rows of summary `s`."""
+    held, begun = 0, s.first_ms
+    if state is not None and s.first_ms - state[2] <= WEEK_MS:
+        held, begun = state[0], state[1]
+    at = bisect_right(s.tops, LIMIT_CENTS - held)
+    if at < len(s.tops):
+        return _state(s.states[at])
+    if s.paused:
+        return _state(s.after_pause)
+    return held + s.total, begun, s.last_ms
+
+
+def _combine(key: tuple, slices: pd.DataFrame) -> pd.DataFrame:
+    """One summary of neighbouring ones."""
+    done = None
     for s in slices.sort_values("slice").itertuples():
-        spend, start, last = state or (None, None, None)
-        rows.append((key[0], s.slice, spend, start, last))
-        held, begun = 0, s.first_ms
-        if state is not None and s.first_ms - last <= WEEK_MS:
-            held, begun = spend, start
-        at = bisect_right(s.tops, LIMIT_CENTS - held)
-        if at < len(s.tops):
-            after = s.states[at]
-        elif s.paused:
-            after = s.after_pause
+        entries = list(zip((int(t) for t in s.tops), map(_state, s.states)))
+        if done is None:
+            done = {"first_ms": s.first_ms, "total": s.total, "entries": entries, "paused": bool(s.paused),
+                    "after_pause": _state(s.after_pause)}
         else:
-            after = {"spend": held + s.total, "start": begun, "last": s.last_ms}
-        state = (after["spend"], after["start"], after["last"]) if after is not None else None
-    out = pd.DataFrame(rows, columns=["customer_id", "slice", "spend", "start", "last"])
-    return out.astype({c: "Int64" for c in ["spend", "start", "last"]})
+            both = [(top, _after(s, state)) for top, state in done["entries"]]
+            if done["paused"]:
+                done["after_pause"] = _after(s, done["after_pause"])
+            elif s.first_ms - last > WEEK_MS:
+                done["paused"], done["after_pause"] = True, _after(s, None)
+            else:
+                # a session that has not fired so far goes on in this slice
+                both += [(done["total"] + top, state) for top, state in entries]
+                done["total"] += s.total
+                done["paused"], done["after_pause"] = bool(s.paused), _state(s.after_pause)
+            done["entries"] = list(zip(*_entries(both, s.debt)))
+        last = s.last_ms
+    return pd.DataFrame([{
+        "customer_id": key[0], "slice": key[1], "first_ms": done["first_ms"], "last_ms": last, "total": done["total"],
+        "debt": s.debt, "tops": [t for t, _ in done["entries"]], "states": [_named(x) for _, x in done["entries"]],
+        "paused": done["paused"], "after_pause": _named(done["after_pause"]),
+    }])
+
+
+def _chain(key: tuple, slices: pd.DataFrame) -> pd.DataFrame:
+    """Start state of each of a few neighbouring slices, from that of the first and their summaries."""
+    slices = slices.sort_values("slice")
+    rows, state = [], _state(slices["entry"].iloc[0])
+    for s in slices.itertuples():
+        rows.append((key[0], s.slice, _named(state)))
+        state = _after(s, state)
+    return pd.DataFrame(rows, columns=["customer_id", "slice", "entry"])
 
 
 def _replay(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    entry = rows.iloc[0]
-    state = None if pd.isna(entry["start"]) else (int(entry["spend"]), int(entry["start"]), int(entry["last"]))
+    state = _state(rows["entry"].iloc[0])
     fired = [(key[0], *t) for t in _Slice(rows).fired(state)]
     return pd.DataFrame(
         fired, columns=["customer_id", "event_ts_ms", "event_id", "spend_cents", "session_window_ms"]
     )
 
 
-def _replay_slices(home: DataFrame) -> DataFrame:
-    rows = home.withColumnRenamed("event_ts_ms", "t").withColumn("slice", F.expr(SLICE)).drop("slice_ms")
-    rows = rows.withColumnRenamed("t", "event_ts_ms")
-    keys = ["customer_id", "slice"]
-    summaries = rows.groupBy(*keys).applyInPandas(
-        _summary,
-        f"customer_id string, slice bigint, first_ms bigint, last_ms bigint, total bigint, tops array<bigint>, "
-        f"states array<{STATE}>, paused boolean, after_pause {STATE}",
-    )
-    starts = summaries.groupBy("customer_id").applyInPandas(
-        _chain, "customer_id string, slice bigint, spend bigint, start bigint, last bigint"
-    )
+def _by_rank(home: DataFrame, slice_rows: int) -> DataFrame:
+    """Rows with `slice`, rising in event order: at most `slice_rows` rows of the sorted whole, whatever their times.
+
+    Materialised, as a second evaluation may cut elsewhere.
+    """
+    order = ["customer_id", "event_ts_ms", "event_id", "cents"]
+    ensure_checkpoint_dir(home.sparkSession)
+    ranked = home.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        "_rank", F.monotonically_increasing_id()
+    ).selectExpr("*", "shiftright(_rank, 33) as _part", f"(_rank & {(1 << 33) - 1}) div {slice_rows} as _piece")
+    ranked = ranked.drop("_rank").checkpoint()
+    pieces = (ranked.agg(F.max("_piece")).first()[0] or 0) + 1
+    return ranked.withColumn("slice", F.col("_part") * pieces + F.col("_piece")).drop("_part", "_piece")
+
+
+def _replay_slices(home: DataFrame, slice_rows: int) -> DataFrame:
+    rows, keys, group = _by_rank(home, slice_rows), ["customer_id", "slice"], F.expr(f"slice div {FAN}")
+    # one row for each hot customer
+    debts = rows.groupBy("customer_id").agg(F.sum(-F.least("cents", F.lit(0))).alias("debt"))
+    levels = [rows.join(F.broadcast(debts), "customer_id").groupBy(*keys).applyInPandas(_summary, SUMMARY).checkpoint()]
+    span = (levels[0].agg(F.max("slice")).first()[0] or 0) + 1
+    while span > FAN:
+        levels.append(levels[-1].groupBy("customer_id", group).applyInPandas(_combine, SUMMARY).checkpoint())
+        span = -(-span // FAN)
+    start = f"customer_id string, slice bigint, entry {STATE}"
+    top = levels.pop().withColumn("entry", F.lit(None).cast(STATE))
+    starts = top.groupBy("customer_id").applyInPandas(_chain, start)
+    for lower in reversed(levels):
+        above = starts.withColumnRenamed("slice", "_group")
+        entered = lower.withColumn("_group", group).join(above, ["customer_id", "_group"])
+        starts = entered.groupBy("customer_id", "_group").applyInPandas(_chain, start)
     return rows.join(starts, keys).groupBy(*keys).applyInPandas(_replay, f"customer_id string, {TRIGGER}")
