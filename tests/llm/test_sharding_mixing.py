@@ -83,6 +83,21 @@ def test_mix_comes_near_its_targets_and_repeats(spark):
     assert whole.columns == docs.columns and whole.count() == sum(r.copies for r in rows)
 
 
+def test_mix_takes_a_part_of_equal_rows(spark):
+    rows = [(None, "same text in every row", "a")] * 300 + [(i, f"own words {i}", "b") for i in range(900)]
+    rows += [(None, "null source", None)] * 40 + [(i, "a b", "a") for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix(docs.repartition(7), (1, 2, 1)).collect()
+    assert len(got) == len(rows)
+    for source in ("a", "b", None):
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r["size"] for r in own)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs.repartition(3), (1, 2, 1)).collect()))
+    assert len({r.copies for r in got if r.source == "a" and r.doc_id is None}) == 2
+    whole = mixing.mixed(docs, (1, 2, 1))
+    assert whole.columns == docs.columns and whole.count() == sum(r.copies for r in got)
+
+
 def test_mix_of_odd_rows(spark):
     rows = [(1, None, "a"), (2, "", "a"), (3, "x " * 5000, None), (None, "y z", None), (5, "w", "b"), (5, "w", "b")]
     docs = spark.createDataFrame(rows, DOCS).withColumns({"size": F.lit("mine"), "_mix": F.lit(1)})

@@ -7,7 +7,8 @@ are the first ones, so prefix sums find the level without repeated rounds.
 
 Inside a source every document is taken `whole` times, and once more if its seeded position lies at or before the
 source's cut.  Positions are MD5 texts; the cut is found from sums by position prefix and one ordering of a
-single prefix, so no task ever orders a source.
+single prefix, so no task ever orders a source.  Of equal rows at the cut, which share a position, as many are
+taken as bring the source nearest to its target.
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ def targets(totals: DataFrame, weights: Sequence[float], budget: float, max_epoc
 def mix_plan(measured: DataFrame, weights: Sequence[float], budget: float, max_epochs: float) -> DataFrame:
     """`measured` has (source, size, position): one row per source with target, whole and the cut position.
 
-    The rows at one position are taken together; they are if that brings the source nearer to its target.
+    Of the `tied` rows at the cut `some` are taken, as many as bring the source nearest to its target.
     """
     measured = measured.withColumn("prefix", F.substring("position", 1, PREFIX))
     sums = cut(measured.groupBy("source", "prefix").agg(F.sum("size").alias("words")))
@@ -90,32 +91,64 @@ def mix_plan(measured: DataFrame, weights: Sequence[float], budget: float, max_e
     inside = (
         measured.alias("m").join(edge.alias("e"), F.col("m.source").eqNullSafe(F.col("e.source"))
                                  & (F.col("m.prefix") == F.col("e.prefix")))
-        .groupBy("e.source", "e.before", "m.position").agg(F.sum("size").alias("words"))
+        .groupBy("e.source", "e.before", "m.position").agg(F.sum("size").alias("words"), F.count("*").alias("tied"))
     )
     run = F.sum("words").over(
         Window.partitionBy("source").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     ) + F.col("before")
-    reached = inside.withColumn("middle", run - F.col("words") / 2).alias("i").join(
+    each = F.col("words") / F.col("tied")
+    reached = inside.withColumn("start", run - F.col("words")).withColumn("each", each).alias("i").join(
         plan.alias("p"), F.col("i.source").eqNullSafe(F.col("p.source"))
     )
-    last = reached.where("middle <= need and words > 0").groupBy("p.source").agg(F.max("i.position").alias("last"))
+    some = F.expr("least(tied, bigint(floor((need - start) / each + 0.5)))").alias("some")
+    last = reached.where("start + each / 2 <= need and words > 0").groupBy("p.source").agg(
+        F.max(F.struct(F.col("i.position").alias("last"), "tied", some)).alias("at")
+    ).select("source", "at.*")
     finished = plan.alias("p").join(edge.alias("e"), F.col("p.source").eqNullSafe(F.col("e.source")), "left").join(
         last.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")), "left"
     )
     # nothing inside the edge prefix is taken: the cut lies just before it
     return finished.select(
         "p.source", "source_size", "weight", "target", "whole",
-        F.when(F.col("need") > 0, F.coalesce("last", "e.prefix")).otherwise(F.lit("")).alias("cut"),
+        F.when(F.col("need") > 0, F.coalesce("last", "e.prefix")).otherwise(F.lit("")).alias("cut"), "tied", "some",
     )
 
 
+def _numbered(measured: DataFrame, plan: DataFrame, place: str, number: str) -> DataFrame:
+    """Adds `number`, from 1 on, to the rows at a cut where only some are taken; null for all others.
+
+    Equal rows are interchangeable: they are counted by the partitions they lie in, so none of them orders all.
+    """
+    partly = plan.where("plan.some < plan.tied").select("plan.source", F.col("plan.cut").alias("cut"))
+    if partly.isEmpty():
+        return measured.withColumn(number, F.lit(None).cast("long"))
+    same = F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col(f"d.{place}") == F.col("t.cut"))
+    others = measured.alias("d").join(partly.alias("t"), same, "left_anti")
+    part, order, earlier, owner = (fresh(measured, c) for c in ("_part", "_order", "_earlier", "_owner"))
+    tied = cut(measured.alias("d").join(partly.alias("t"), same, "left_semi").withColumns(
+        {part: F.spark_partition_id(), order: F.monotonically_increasing_id()}
+    ))
+    sums = tied.groupBy(F.col("source").alias(owner), part).agg(F.count("*").alias(earlier)).withColumn(earlier, F.coalesce(
+        F.sum(earlier).over(Window.partitionBy(owner).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    ))
+    own = F.row_number().over(Window.partitionBy("source", part).orderBy(order))
+    counted = tied.withColumn(number, own).alias("d").join(
+        sums.alias("s"), F.col("d.source").eqNullSafe(F.col(f"s.{owner}")) & (F.col(f"d.{part}") == F.col(f"s.{part}"))
+    ).select(*[F.col(f"d.`{c}`") for c in measured.columns], (F.col(f"d.{number}") + F.col(earlier)).alias(number))
+    return others.withColumn(number, F.lit(None).cast("long")).unionByName(counted)
+
+
 def _with_copies(measured: DataFrame, size: str, place: str, settings: tuple, name: str) -> DataFrame:
     """Add the struct `name`: source_size, target and copies."""
     plan = mix_plan(measured.select("source", F.col(size).alias("size"), F.col(place).alias("position")), *settings)
-    plan = small_side(plan.select(F.struct("source", "source_size", "target", "whole", "cut").alias("plan")))
-    extra = F.when((F.col("p.plan.cut") != "") & (F.col(f"d.{place}") <= F.col("p.plan.cut")), 1).otherwise(0)
-    joined = measured.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.plan.source")))
-    return joined.select("d.*", F.struct(
+    plan = small_side(plan.select(F.struct("source", "source_size", "target", "whole", "cut", "tied", "some").alias("plan")))
+    number = fresh(measured, "_number")
+    dealt = _numbered(measured, plan, place, number)
+    before = F.col(f"d.{place}") < F.col("p.plan.cut")
+    within = (F.col(f"d.{place}") == F.col("p.plan.cut")) & (F.coalesce(f"d.{number}", F.lit(0)) <= F.col("p.plan.some"))
+    extra = F.when((F.col("p.plan.cut") != "") & (before | within), 1).otherwise(0)
+    joined = dealt.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.plan.source")))
+    return joined.select(*[F.col(f"d.`{c}`") for c in measured.columns], F.struct(
         F.col("p.plan.source_size").alias("source_size"), F.col("p.plan.target").alias("target"),
         (F.col("p.plan.whole") + extra).alias("copies"),
     ).alias(name))
@@ -126,8 +159,8 @@ def mix(
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) for every document.
 
-    Null text counts as empty, null source is a source of its own, rows equal in id and text are decided together, an
-    empty table stays empty.  Other columns are not read; texts are read once.
+    Null text counts as empty, null source is a source of its own, of rows equal in id and text some may be taken
+    once more and others not, an empty table stays empty.  Other columns are not read; texts are read once.
     """
     measured = cut(docs.select("doc_id", "source", words(F.col("text")).alias("size"),
                                position(F.col("doc_id"), F.col("text"), seed).alias("position")))
