@@ -143,6 +143,16 @@ def test_blocks_of_a_page():
     assert leaf_blocks(None) == [] and leaf_blocks("<![foo[ x ]]><p>a<") != [] and len(leaf_blocks("<div>" * 500 + "x")) == 1
 
 
+def test_closed_foreign_elements_and_fallback_text_hide_nothing():
+    def texts(html):
+        return [b.text for b in leaf_blocks(html)]
+
+    assert texts("<article><svg/><p>text</p><math /><p>more</p></article>") == ["text", "more"]
+    assert texts("<article><p>a <math><mi>x</mi></math> b</p><noscript><p>c</p></noscript><object><p>d</p></object></article>") == [
+        "a x b", "c", "d"]
+    assert texts("<p>a<svg><text>hidden</text><path/></svg>b</p>") == ["ab"]
+
+
 def test_extraction_on_held_out_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     odd = spark.createDataFrame([(9001, None, None), (9002, "u", ""), (9003, "u", PAGE), (None, "u", "<p>"), (9003, "u", PAGE)],

@@ -13,7 +13,9 @@ BLOCK_TAGS = set(
     "pre search section select summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_TAGS = set("script style noscript template iframe object svg math canvas audio video textarea".split())
+HIDDEN_TAGS = set("script style template iframe svg canvas audio video textarea".split())
+# Elements that a slash in their start tag closes.
+FOREIGN_TAGS = {"svg", "math"}
 CLOSES = {
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "body": {"head"},
@@ -91,8 +93,9 @@ class BlockParser(HTMLParser):
         self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        # a slash ends nothing but void elements
-        self.handle_starttag(tag, attrs)
+        # a slash ends nothing but void and foreign elements
+        if tag not in FOREIGN_TAGS:
+            self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
         for back, (name, _) in enumerate(reversed(self.open), 1):
