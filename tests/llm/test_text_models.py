@@ -38,6 +38,64 @@ def test_chain_on_held_out_rows(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in scored.items() if not r.toxic}
 
 
+def plain_chain(ids, targets, weight, fold):
+    """The chain on one dense matrix; the log-odds of all rows and categories."""
+    dense = np.zeros((len(ids), toxicity.DIMENSIONS), dtype=bool)
+    for i, found in enumerate(ids):
+        dense[i, found] = True
+
+    def fit(inside, k, earlier):
+        y, n1, n0 = targets[inside, k] > 0, max(1, (targets[inside, k] > 0).sum()), max(1, (targets[inside, k] == 0).sum())
+        w1, w0 = dense[inside][y].sum(0), dense[inside][~y].sum(0)
+        pooled = (w1 + w0 + 1) / (n1 + n0 + 2)
+        z = np.abs((w1 + pooled) / (n1 + 1) - (w0 + pooled) / (n0 + 1)) / np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
+        best = np.lexsort((np.arange(len(z)), -z))[:toxicity.SELECTED]
+        best = best[z[best] >= toxicity.LEAST_Z]
+        x = np.column_stack((dense[:, best], earlier, np.ones(len(ids))))
+        share = weight[inside] / weight[inside].sum()
+        rate = np.clip((share * y).sum(), 1e-4, 1 - 1e-4)
+        theta = np.zeros(x.shape[1])
+        theta[-1] = np.log(rate / (1 - rate))
+        m, v = 0 * theta, 0 * theta
+        for step in range(1, 251):
+            slope = x[inside].T @ (share * (1 / (1 + np.exp(-x[inside] @ theta)) - y))
+            slope[:-1] += 1e-5 * theta[:-1]
+            m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope ** 2
+            theta -= 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        return x, theta
+
+    everyone, earlier, out = np.ones(len(ids), bool), np.zeros((len(ids), 0)), np.zeros((len(ids), 0))
+    for k in range(targets.shape[1]):
+        x, theta = fit(everyone, k, earlier)
+        x[:, x.shape[1] - 1 - k:-1] = out  # when scoring, earlier log-odds come from the whole models
+        out = np.column_stack((out, x @ theta))
+        unseen = np.zeros(len(ids))
+        for f in set(fold):
+            x, theta = fit(fold != f, k, earlier)
+            unseen[fold == f] = (x @ theta)[fold == f]
+        earlier = np.column_stack((earlier, unseen))
+    return out
+
+
+def test_chain_equals_a_plain_chain(spark):
+    rows = toxic_corpus(160, 8)
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
+    labels = toxicity.label_categories(spark.createDataFrame([(i, q, x) for i, _, q, x in rows], "doc_id long, quality int, toxic int"))
+    scored = {r.doc_id: r for r in toxicity.score(docs, toxicity.train(docs, labels, CATEGORIES), CATEGORIES).collect()}
+    fold = np.array([r[0] for r in docs.select(F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(toxicity.FOLDS))).collect()])
+    ids = [toxicity.features(t, toxicity._Buckets()) for _, t, _, _ in rows]
+    logits = plain_chain(ids, np.array([(1 - q, x) for _, _, q, x in rows], dtype=float), np.ones(len(rows)), fold)
+    for (i, *_), expected in zip(rows, 1 / (1 + np.exp(-logits))):
+        assert abs(scored[i].p_low_quality - expected[0]) < 1e-4 and abs(scored[i].p_toxic - expected[1]) < 1e-4
+
+
+def test_words_over_a_chunk_end_stay_whole(monkeypatch):
+    text = "one two_3, L\u2019\u00e9t\u00e9 " + "x" * 30 + " yy" * 20
+    whole = set(re.findall(r"\w+", text))
+    monkeypatch.setattr(toxicity, "CHUNK", 7)
+    assert toxicity._distinct_words(text) == whole
+
+
 def test_chain_without_labels_and_with_odd_rows(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "a b"), (2, "")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
