@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontaminate, embeddings, html_extract, mixing, sharding, simhash, toxicity, urls, warc
+from tidemark.llm import chat, decontaminate, embeddings, html_extract, mixing, runs, sharding, simhash, toxicity, urls, warc
 from tidemark.llm.common import cut, shared_folder
 
 SHARDS = 24
@@ -115,6 +115,37 @@ def extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; from a place on, one text in ten (by its id's CRC) repeats the words that begin there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    of = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    g, n = F.floor(F.col("h") / 10), F.size("words")
+    of = of.withColumn("a", F.when(n > 0, g % n).cast("int")).withColumn("left", F.size("words") - F.col("a"))
+    of = of.withColumn("p", (1 + F.floor(F.col("left") / (3 + g % 8))).cast("int"))
+    cycle = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(F.col("left") / F.col("p")).cast("int"))
+    told = F.concat(F.slice("words", 1, F.col("a")), F.slice(F.flatten(cycle), F.lit(1), F.col("left")))
+    return of.select("doc_id", F.when(F.col("p").isNotNull(), F.array_join(told, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, a tenth of them with a planted period, with their runs and a digest of what is left without repeats."""
+    found = runs.find_runs(planted(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    # runs come by start, then period, so of equal exponents the first stays
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda held, r: F.when(
+        r["length"] * held["period"] > held["length"] * r["period"], r).otherwise(held))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc_archive,
     "op2_mixing": mix_sources,
@@ -126,4 +157,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": chat_format,
     "op9_sharding": shard_documents,
     "op10_html": extract_pages,
+    "op12_runs": periodic_runs,
 }
