@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontaminate, embeddings, html_extract, mixing, runs, sharding, simhash, toxicity, urls, warc
+from tidemark.llm import chat, decontaminate, embeddings, html_extract, mixing, rules, runs, sharding, simhash, toxicity, urls, warc
 from tidemark.llm.common import cut, shared_folder
 
 SHARDS = 24
@@ -128,6 +128,14 @@ def planted(docs: DataFrame) -> DataFrame:
     return of.select("doc_id", F.when(F.col("p").isNotNull(), F.array_join(told, " ")).otherwise(F.col("text")).alias("text"))
 
 
+def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by rules that were learnt from two thirds of the labels, chosen by the id's CRC."""
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ensemble = rules.train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return rules.score(docs, ensemble).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, a tenth of them with a planted period, with their runs and a digest of what is left without repeats."""
     found = runs.find_runs(planted(table(spark, sf_dir, "documents")))
@@ -158,4 +166,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": shard_documents,
     "op10_html": extract_pages,
     "op12_runs": periodic_runs,
+    "op13_quality": document_quality,
 }
