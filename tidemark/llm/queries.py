@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontaminate, embeddings, html_extract, mixing, rules, runs, sharding, simhash, toxicity, urls, warc
+from tidemark.llm import align, chat, decontaminate, embeddings, html_extract, mixing, rules, runs, sharding, simhash, toxicity, urls, warc
 from tidemark.llm.common import cut, shared_folder
 
 SHARDS = 24
@@ -128,6 +128,17 @@ def planted(docs: DataFrame) -> DataFrame:
     return of.select("doc_id", F.when(F.col("p").isNotNull(), F.array_join(told, " ")).otherwise(F.col("text")).alias("text"))
 
 
+# Public vocabularies; the folder is there on every machine.
+TOKENIZERS = align.Tokenizers("/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the groups and links of their tokens under two vocabularies."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return align.aligned_documents(docs, TOKENIZERS).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by rules that were learnt from two thirds of the labels, chosen by the id's CRC."""
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
@@ -165,6 +176,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": chat_format,
     "op9_sharding": shard_documents,
     "op10_html": extract_pages,
+    "op11_alignment": token_alignment,
     "op12_runs": periodic_runs,
     "op13_quality": document_quality,
 }
