@@ -31,8 +31,10 @@ from tidemark.llm.common import cut, fresh, shared_folder
 # A broadcast holds at most so many pairs of ids.
 COMMON = 50_000
 # Stretches that a task remembers, and the longest of them.
-REMEMBERED = 60_000
+REMEMBERED = 250_000
 LONGEST = 256
+# Stretches that are tokenized in one call.
+JOINED = 2048
 # Bytes of text after which a batch of rows is given out.
 FLUSH = 1 << 22
 
@@ -133,6 +135,9 @@ class Stretch(NamedTuple):
     pairs: bytes
 
 
+UNSPELT = Stretch(0, 0, 0, None, b"")
+
+
 class Aligner:
     def __init__(self, a, b, links=ending_together) -> None:
         self.sides, self.links = (a, b), links
@@ -146,45 +151,64 @@ class Aligner:
             self.known.clear()
         known = self.known
         new = list({p for parts in split for p in parts if p not in known})
+        # stretches with white space at an end can't be joined by a space
+        new.sort(key=lambda p: p[0].isspace() or p[-1].isspace())
         told = dict(zip(new, self._aligned(new)))
         known.update((p, s) for p, s in told.items() if len(p) <= LONGEST)
         return [[told[p] if p in told else known[p] for p in parts] for parts in split]
 
+    def _encoded(self, side: int, stretches: list[str], expected: list[bytes]) -> tuple[list[int], list[int]]:
+        """Ids of all stretches and how many each has, -1 for one that the ids do not spell."""
+        tokens, model = [], self.sides[side]
+        counts: list[int] = []
+        for at in range(0, len(stretches), JOINED):
+            some, spelt = stretches[at:at + JOINED], expected[at:at + JOINED]
+            if not (some[-1][0].isspace() or some[-1][-1].isspace()):
+                ids = model.encode([" ".join(some)])[0]
+                if b"".join(map(model.bytes.__getitem__, ids)) == b"".join(spelt):
+                    ends = np.cumsum(self.lengths[side][ids])
+                    bounds = np.cumsum([len(e) for e in spelt])
+                    places = np.searchsorted(ends, bounds)
+                    if (ends[places] == bounds).all():
+                        tokens += ids
+                        counts += np.diff(places, prepend=-1).tolist()
+                        continue
+            for ids, e in zip(model.encode(some), spelt):
+                right = b"".join(map(model.bytes.__getitem__, ids)) == e
+                tokens += ids if right else []
+                counts.append(len(ids) if right else -1)
+        return tokens, counts
+
     def _aligned(self, stretches: list[str]) -> list[Stretch]:
         expected = [f" {p}".encode("utf-8", "surrogatepass") for p in stretches]
-        ids = [s.encode(stretches) for s in self.sides]
-        right = [all(b"".join(map(s.bytes.__getitem__, of[i])) == e for s, of in zip(self.sides, ids)) for i, e in enumerate(expected)]
-        good = [i for i, r in enumerate(right) if r]
-        counts = [np.array([len(of[i]) for i in good], dtype=np.int64) for of in ids]
-        flat = [np.array([t for i in good for t in of[i]], dtype=np.int64) for of in ids]
+        flat, counts = zip(*[self._encoded(side, stretches, expected) for side in (0, 1)])
+        flat, counts = [np.array(f, dtype=np.int64) for f in flat], np.array(counts, dtype=np.int64).reshape(2, -1)
+        right = (counts >= 0).all(axis=0)
+        # tokens of a stretch that only one side spells are left out
+        flat = [f[np.repeat(right, np.maximum(c, 0))] for f, c in zip(flat, counts)]
+        n_a, n_b = counts[:, right]
         # one axis for all: a stretch begins where the one before it ends
         ends = [np.cumsum(lengths[f]) for lengths, f in zip(self.lengths, flat)]
         starts = [e - lengths[f] for e, lengths, f in zip(ends, self.lengths, flat)]
-        begin = np.cumsum([0, *[len(expected[i]) for i in good]])
+        bounds = np.cumsum([len(e) for e, r in zip(expected, right) if r])
         side = np.repeat([0, 1], [len(flat[0]), len(flat[1])])
         order, group = coalesced(np.concatenate(starts), np.concatenate(ends), side)
         # a group's A tokens, then its B tokens
         shown = order[np.lexsort((side[order], group))]
         group, side, token = np.sort(group), side[shown], np.concatenate(flat)[shown]
-        signs = np.where(group[1:] != group[:-1], ";", np.where(side[1:] != side[:-1], "|", ","))
-        words = [f"{t}{s}" for t, s in zip(token.tolist(), [*signs.tolist(), ""])]
-        last = np.cumsum(counts[0] + counts[1])
-        opens = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1)) if len(group) else np.zeros(0, np.int64)
-        n_groups = np.diff(np.searchsorted(opens, np.concatenate(([0], last))))
+        signs = np.where(group[1:] != group[:-1], 2, side[1:] != side[:-1])
+        words = [f"{t}{',|;'[s]}" for t, s in zip(token.tolist(), [*signs.tolist(), 2])]
+        last = np.cumsum(n_a + n_b)
+        opens = np.append(True, signs == 2)[:len(token)]
+        n_groups = np.diff(np.append(0, np.cumsum(opens))[np.append(0, last)])
         in_a, in_b = self.links(starts[0], ends[0], starts[1], ends[1])
         pairs = (flat[0][in_a] << 32) | flat[1][in_b]
-        link_cuts = np.searchsorted(ends[0][in_a], begin, side="right")
-        found, at = [], 0
-        for i, r in enumerate(right):
-            if not r:
-                found.append(Stretch(0, 0, 0, None, b""))
-                continue
-            first = last[at] - counts[0][at] - counts[1][at]
-            told = "".join(words[first:last[at]]).rstrip(";").encode()
-            found.append(Stretch(int(counts[0][at]), int(counts[1][at]), int(n_groups[at]), told,
-                                 pairs[link_cuts[at]:link_cuts[at + 1]].tobytes()))
-            at += 1
-        return found
+        links = np.append(0, np.searchsorted(ends[0][in_a], bounds, side="right")) * 8
+        coded = pairs.tobytes()
+        told = zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), np.append(0, last[:-1]).tolist(), last.tolist(),
+                   links[:-1].tolist(), links[1:].tolist())
+        good = iter([Stretch(a, b, n, "".join(words[first:end])[:-1].encode(), coded[low:high]) for a, b, n, first, end, low, high in told])
+        return [next(good) if r else UNSPELT for r in right.tolist()]
 
 
 ALIGNED = ("n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "
