@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tidemark.functions import parsing
-from tidemark.operators import panes
+from tidemark.operators import panes, sequence
 from tidemark.plans import intents, nightly, reports
 from tidemark.sources import adapters, sinks, tables
 from tidemark.streaming import jobs
+from tidemark.streaming.processor import newest_snapshot
 
 T0 = 1_700_000_000_000
 STAMP = datetime(2023, 11, 20)
@@ -49,14 +50,18 @@ class Topics:
     def stream(self, spark, name):
         return tables.read_message_files(spark, f"{self.root}/{name}/*.json", files_per_trigger=1)
 
-    def start(self, spark, run=1):
+    def start(self, spark, run=1, tick_ms=None):
         return jobs.start_intents(
             parsing.parse_transactions(self.stream(spark, "txn")),
             parsing.parse_product_events(self.stream(spark, "product")),
             parsing.parse_scores(self.stream(spark, "scores")),
             f"{self.root}/out", f"{self.root}/checkpoint{run}", run, lambda: STAMP + timedelta(days=run), trigger="1 second",
+            tick_ms=tick_ms,
         )
 
+    def state(self, spark, name):
+        return spark.read.format("statestore").option("stateVarName", name).load(f"{self.root}/checkpoint1")
+
 
 def wait_for(query, done, seconds=150):
     """Wait until the progress reports satisfy `done`; such a query keeps running empty batches."""
@@ -216,3 +221,100 @@ def test_a_new_start_repeats_and_loses_nothing(spark, topics):
     assert sorted(r.customer_id for r in stored) == ["a", "b"] and stored[0].event_date == date(2023, 11, 14)
     offers = parsing.flatten_offers(spark.read.parquet(f"{topics.root}/out/offers"), ["received_at"]).collect()
     assert [(r.customer_id, r.received_at) for r in offers] == [("a", STAMP + timedelta(days=1))]
+
+
+def snapshot(customer, home_loan, ms=None):
+    return {"customer_id": customer, "scores": {"home_loan": home_loan}, **({"score_ts": iso(ms)} if ms else {})}
+
+
+def test_the_newest_snapshot_does_not_depend_on_order():
+    told = [(None, {"a": 9.0}), (5, {"a": 1.0}), (7, {"a": 2.0}), (7, {"a": 3.0}), (7, {"a": None}), (6, {})]
+    assert newest_snapshot(told) == newest_snapshot(told[::-1]) == (7, {"a": 3.0})
+    assert newest_snapshot([(None, {"a": 1.0}), (None, {})]) == (None, {"a": 1.0})
+
+
+def test_newer_scores_win_over_later_ones(spark, topics):
+    topics.put("product", [{"customer_id": "x", "event_ts": iso(T0), "product": "home_loan"}])
+    topics.put("scores", [snapshot("up", 61.0, T0), snapshot("up", 62.0, T0 + MINUTE), snapshot("down", 62.0, T0 + MINUTE),
+                          snapshot("down", 61.0, T0), snapshot("old", 62.0, T0 + MINUTE), snapshot("none", 61.0)])
+    topics.put("txn", [message("x", T0, "retail", 1.0)])
+    query = topics.start(spark)
+    try:
+        wait_for(query, idle_after(8))
+        # a snapshot from before those held, one without a time over one without, and one without over one with
+        topics.put("scores", [snapshot("old", 61.0, T0), snapshot("none", 62.0), snapshot("up", 50.0)])
+        wait_for(query, idle_after(11))
+        topics.put("txn", [message(c, T0, "furniture", 2500.0) for c in ("up", "down", "old", "none")])
+        wait_for(query, idle_after(15))
+    finally:
+        query.stop()
+    stored = spark.read.parquet(f"{topics.root}/out/intents").collect()
+    assert {r.customer_id: r.base_score for r in stored} == dict.fromkeys(("up", "down", "old", "none"), 62.0)
+
+
+def test_a_silent_customer_keeps_only_scores(spark, topics):
+    day = 24 * 60 * MINUTE
+    topics.put("scores", [snapshot("a", 61.0, T0)])
+    topics.put("product", [{"customer_id": "a", "event_ts": iso(T0), "product": "home_loan"}])
+    topics.put("txn", [message("a", T0, "furniture", 2500.0), message("a", T0, "furniture", 100.0)])
+    query = topics.start(spark, tick_ms=1000)
+    try:
+        wait_for(query, idle_after(4))
+        topics.put("txn", [message("a", T0 + MINUTE, "furniture", 5.0), message("a", T0 + day, "retail", 5.0)])
+        wait_for(query, idle_after(6))
+        query.stop()
+        # each micro-batch has added one chunk to a day; none was written again
+        chunks = topics.state(spark, "week").selectExpr("key.customer_id", "user_map_key.*", "size(user_map_value.ms) as n").collect()
+        assert sorted((r.day - T0 // day, r.number, r.n) for r in chunks) == [(0, 0, 2), (0, 1, 1), (1, 0, 1)]
+        assert topics.state(spark, "session").count() == topics.state(spark, "kept").count() == 1
+
+        query = topics.start(spark, tick_ms=1000)
+        topics.put("txn", [message("b", T0 + 12 * day, "retail", 5.0)])
+        wait_for(query, idle_after(1))
+        end = time.time() + 90  # the watermark follows a batch later, the timer a second after that
+        while time.time() < end and len([p for p in query.recentProgress]) < 14:
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    for name in ("week", "session", "kept"):
+        assert {r.customer_id for r in topics.state(spark, name).select("key.customer_id").collect()} <= {"b"}, name
+    assert {r.customer_id for r in topics.state(spark, "snapshot").select("key.customer_id").collect()} == {"a"}
+
+
+def test_sequence_stream_equals_batch(spark, topics):
+    day = 24 * 60 * MINUTE
+    parts = [
+        [("a", 0, "A"), ("a", 5 * MINUTE, "A"), ("b", 0, "A"), ("c", 0, "B"), ("d", 0, "A")],
+        # out of order within the watermark's delay; the nearest later B counts
+        [("a", day + 5 * MINUTE, "B"), ("a", day, "B"), ("a", day, "A"), ("c", MINUTE + day, "A"), ("e", day, "AB"), ("e", day + 1, "AB")],
+        # b's week is over by a millisecond, d's is not
+        [("b", 7 * day + 1, "B"), ("d", 7 * day, "B"), ("c", 2 * day, "A"), ("", 2 * day, "A")],
+        [("z", 30 * day, "B")], [("z", 60 * day, "B")],
+    ]
+    rows, number = [], 0
+    for i, part in enumerate(parts):
+        for customer, ms, kind in part:
+            number += 1
+            rows.append((i, {"customer_id": customer, "ms": T0 + ms, "kind": kind, "event_id": number}))
+
+    def parsed(raw):
+        schema = "customer_id string, ms bigint, kind string, event_id bigint"
+        return raw.select(F.from_json("value", schema).alias("m")).select(
+            "m.customer_id", F.timestamp_millis("m.ms").alias("event_ts"), F.col("m.ms").alias("event_ts_ms"), "m.event_id", "m.kind")
+
+    first, second = F.col("kind").contains("A"), F.col("kind").contains("B")
+    out, checkpoint = f"{topics.root}/alerts", f"{topics.root}/checkpoint1"
+    for i in range(len(parts)):  # a restart before every part
+        topics.put("txn", [m for at, m in rows if at == i])
+        query = jobs.start_sequence_alerts(parsed(topics.stream(spark, "txn")), first, second, out, checkpoint, "1 second")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    events = parsed(spark.read.text(f"{topics.root}/txn")).where("customer_id != ''").withColumn("slice_ms", F.lit(None).cast("bigint"))
+    want = sequence.sequence_alerts(events, first, second)
+    assert want.count() == 5
+    got = spark.read.parquet(out).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert topics.state(spark, "firsts").count() == 0
+    assert {r.customer_id for r in topics.state(spark, "seconds").select("key.customer_id").collect()} <= {"z"}

@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.parsing import drop_blank_keys, known_categories
+from tidemark.functions.parsing import drop_blank_keys, iso_timestamp, known_categories
 from tidemark.functions.scoring import base_or_default, composite_score, pattern_boost
 from tidemark.plans.intents import assemble, offer_json, realtime_offers
-from tidemark.schemas import OFFER_THRESHOLD, WATERMARK_DELAY
+from tidemark.schemas import OFFER_THRESHOLD, WATERMARK_DELAY, WEEK_MS
 from tidemark.sources import sinks
-from tidemark.streaming.processor import OUTPUT_SCHEMA, IntentProcessor
+from tidemark.streaming.processor import OUTPUT_SCHEMA, SEQUENCE_SCHEMA, IntentProcessor, SequenceProcessor
 
 # Time that outputs are stamped with.
 Clock = Callable[[], datetime]
@@ -29,7 +29,8 @@ def keyed_input(transactions: DataFrame, product_events: DataFrame, scores: Data
     events = transactions.unionByName(product_events, allowMissingColumns=True).select(*INPUT_COLUMNS)
     watched = drop_blank_keys(events).withWatermark("event_ts", WATERMARK_DELAY)
     told = watched.withColumn("raw_event", F.to_json(F.struct(*[c for c in INPUT_COLUMNS if c != "event_ts"])))
-    snapshots = scores.select("customer_id", F.lit("score").alias("kind"), "scores")
+    snapshots = scores.select(
+        "customer_id", F.lit("score").alias("kind"), "scores", F.unix_millis(iso_timestamp(F.col("score_ts"))).alias("score_ts_ms"))
     return told.unionByName(snapshots, allowMissingColumns=True).observe(
         "intent_input",
         F.count_if(F.col("kind") == "score").alias("score_updates"),
@@ -37,7 +38,8 @@ def keyed_input(transactions: DataFrame, product_events: DataFrame, scores: Data
     )
 
 
-def intent_stream(transactions: DataFrame, product_events: DataFrame, scores: DataFrame) -> DataFrame:
+def intent_stream(transactions: DataFrame, product_events: DataFrame, scores: DataFrame,
+                  tick_ms: int | None = None) -> DataFrame:
     """Kept intents and late events, tagged in column `output`.
 
     Scores are keyed like the events, so no task holds a copy of all scores.  The processing-time
@@ -47,7 +49,7 @@ def intent_stream(transactions: DataFrame, product_events: DataFrame, scores: Da
         keyed_input(transactions, product_events, scores)
         .groupBy("customer_id")
         .transformWithState(
-            statefulProcessor=IntentProcessor(), outputStructType=OUTPUT_SCHEMA, outputMode="append",
+            statefulProcessor=IntentProcessor(tick_ms), outputStructType=OUTPUT_SCHEMA, outputMode="append",
             timeMode="ProcessingTime",
         )
     )
@@ -82,7 +84,8 @@ def stored_offers(intents: DataFrame, received_at: datetime) -> DataFrame:
 
 
 def start_intents(transactions: DataFrame, product_events: DataFrame, scores: DataFrame, out: str,
-                  checkpoint: str, run: int, now: Clock, trigger: str = "10 seconds") -> StreamingQuery:
+                  checkpoint: str, run: int, now: Clock, trigger: str = "10 seconds",
+                  tick_ms: int | None = None) -> StreamingQuery:
     """Run the intent job; intents, offers and late events land under `out`.
 
     Intents and offers have a deterministic key and are inserted once, whatever is replayed and however
@@ -104,7 +107,7 @@ def start_intents(transactions: DataFrame, product_events: DataFrame, scores: Da
             batch.unpersist()
 
     return (
-        intent_stream(transactions, product_events, scores)
+        intent_stream(transactions, product_events, scores, tick_ms)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
@@ -147,3 +150,41 @@ def start_sliding_spend(transactions: DataFrame, out: str, checkpoint: str, run:
         .trigger(processingTime=trigger)
         .start()
     )
+
+
+def sequence_stream(events: DataFrame, first: Column, second: Column, within_ms: int = WEEK_MS) -> DataFrame:
+    """The stream form of `operators.sequence.sequence_alerts`: the same alerts once the watermark has passed the second event.
+
+    `events` has customer_id, event_ts, event_ts_ms and event_id.  Rows behind the watermark are left out.
+    """
+    flags = F.coalesce(first, F.lit(False)).alias("is_first"), F.coalesce(second, F.lit(False)).alias("is_second")
+    return (
+        drop_blank_keys(events)
+        .withWatermark("event_ts", WATERMARK_DELAY)
+        .select("customer_id", "event_ts", "event_ts_ms", "event_id", *flags)
+        .where("is_first or is_second")
+        .groupBy("customer_id")
+        .transformWithState(
+            statefulProcessor=SequenceProcessor(within_ms), outputStructType=SEQUENCE_SCHEMA, outputMode="append",
+            timeMode="EventTime",
+        )
+    )
+
+
+def start_sequence_alerts(events: DataFrame, first: Column, second: Column, out: str, checkpoint: str,
+                          trigger: str = "10 seconds", within_ms: int = WEEK_MS) -> StreamingQuery:
+    """Run the alert job; an alert is inserted once, whatever is replayed."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.insert_new(batch.withColumns({
+            "event_id": F.sha2(F.concat_ws("|", "customer_id", "first_event_id", "first_ts_ms"), 256),
+            "event_date": F.timestamp_millis("second_ts_ms").cast("date"),
+        }), out)
+
+    return (
+        sequence_stream(events, first, second, within_ms)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(processingTime=trigger)
+        .start()
+    )
