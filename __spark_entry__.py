@@ -321,7 +321,7 @@ def nightly_enrichment(spark: SparkSession, sf: str) -> DataFrame:
 # ---- intents ------------------------------------------------------------------------------------
 
 def rolling_features(spark: SparkSession, sf: str) -> DataFrame:
-    return rolling.rolling_features(_marked_events(spark, sf)).drop("slice_ms")
+    return rolling.rolling_features(_marked_events(spark, sf)).drop("hot")
 
 
 def large_credit_quiet(spark: SparkSession, sf: str) -> DataFrame:

@@ -58,6 +58,8 @@ def test_signals_and_kept_intents(spark, seed, tick, span, hot, monkeypatch):
     if hot:
         # every customer counts as hot and is cut into slices of a few rows
         monkeypatch.setattr(rolling.with_hot, "__defaults__", (20, None))
+        monkeypatch.setattr(slices, "SLICE_ROWS", 7)
+        monkeypatch.setattr(slices, "FAN", 4)
         monkeypatch.setattr(sessions.home_session_triggers, "__defaults__", (5, 4, None))
     largest = 10**9 if hot else None
     got = intents.intent_signals(df, largest=largest)
@@ -173,15 +175,34 @@ def test_summaries_keep_only_what_can_be_looked_up():
     assert tops[-1] > sessions.LIMIT_CENTS + 50_000 and len(tops) <= 26
 
 
-def test_slices_stay_small_with_a_stray_row_and_a_burst(spark):
-    even = spark.range(40_000).selectExpr("'even' as k", f"{T0} + id * 60000 as t")
-    stray = spark.range(40_000).selectExpr("'stray' as k", f"if(id = 0, 0, {T0} + id * 60000) as t")
-    burst = spark.range(40_000).selectExpr("'burst' as k", f"{T0} + if(id < 30000, id * 120, id * 600000) as t")
-    same = spark.range(40_000).selectExpr("'same' as k", f"{T0} + (id % 80) * {DAY} as t")
-    rows = even.union(stray).union(burst).union(same)
-    marked = slices.mark_hot(rows, ["k"], "t", 16_000).withColumn("slice", F.expr(slices.SLICE))
-    largest = {r.k: r.n for r in marked.groupBy("k", "slice").count().groupBy("k").agg(F.max("count").alias("n")).collect()}
-    assert set(largest) == {"even", "stray", "burst", "same"} and max(largest.values()) <= 2 * 1000, largest
+def test_slices_follow_the_rank_and_totals_do_not_change(spark, monkeypatch):
+    """A fortieth of the rows in one millisecond, a stray old row, and a key all of one time."""
+    monkeypatch.setattr(slices, "FAN", 4)
+    t = f"if(id = 7, 0, {T0} + if(id % 40 = 0, 5000, id * 60000))"
+    rows = spark.range(20_000).selectExpr("'burst' as k", f"{t} as t", "int(id % 2) as step", "id as event_id", "int(id % 3) as seq",
+                                          "bigint(id % 7 - 2) as a", "1 as n", "concat('p', id) as payload")
+    same = spark.range(6000).selectExpr("'same' as k", f"{T0} as t", "1 as step", "id as event_id", "0 as seq", "id as a", "1 as n",
+                                        "cast(null as string) as payload")
+    rows = rows.union(same).union(same.where("event_id < 50").withColumn("k", F.lit("small")))
+    marked = slices.mark_hot(rows, ["k"], 1000)
+    sliced = slices.by_rank(marked.where("hot"), ["k", *slices.ORDER], 500)
+    sizes = [r["count"] for r in sliced.groupBy("k", "slice").count().collect()]
+    assert sum(sizes) == 26_000 and max(sizes) <= 500 and len(sizes) <= 26_000 // 500 + 3 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = sorted(map(tuple, slices.running_totals(rows, ["k"], ["a", "n"]).collect()), key=str)
+    got = slices.running_totals(marked, ["k"], ["a", "n"], 500)
+    assert got.columns == marked.columns
+    assert sorted((tuple(r)[:-1] for r in got.collect()), key=str) == want
+
+    asked = rows.selectExpr("k", "inline(array(named_struct('t', t, 'target', if(a < 3, struct(t as ms, event_id as id), null), "
+                            "'probe', if(a < 3, null, struct(event_id)))))").where("target is not null or probe is not null")
+    want = sorted(map(tuple, slices.first_at_or_after(asked, ["k"]).collect()), key=str)
+    got = slices.first_at_or_after(slices.mark_hot(asked, ["k"], 1000), ["k"], 500)
+    assert sorted((tuple(r) for r in got.drop("hot").collect()), key=str) == want and len(want) > 10_000
+
+
+def test_a_key_just_above_the_bound_is_sliced_however_many_rows_there_are(spark):
+    rows = spark.range(300_000).selectExpr("if(id < 1001, 'hot', concat('k', id % 1000)) as k", "id as t")
+    assert [r.k for r in slices.hot_keys(rows, ["k"], 1000).collect()] == ["hot"]
 
 
 @pytest.mark.parametrize("hot", [False, True])

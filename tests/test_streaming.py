@@ -311,7 +311,7 @@ def test_sequence_stream_equals_batch(spark, topics):
             query.processAllAvailable()
         finally:
             query.stop()
-    events = parsed(spark.read.text(f"{topics.root}/txn")).where("customer_id != ''").withColumn("slice_ms", F.lit(None).cast("bigint"))
+    events = parsed(spark.read.text(f"{topics.root}/txn")).where("customer_id != ''")
     want = sequence.sequence_alerts(events, first, second)
     assert want.count() == 5
     got = spark.read.parquet(out).select(*want.columns)

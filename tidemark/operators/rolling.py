@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.slices import HOT_ROWS, first_at_or_after, mark_hot, running_totals
+from tidemark.operators.slices import HOT_ROWS, first_at_or_after, mark_hot, marks, running_totals
 from tidemark.schemas import DAY_MS, LARGE_CREDIT_AMOUNT, QUIET_MS, WEEK_MS
 
 MEASURES = ["retail_24h", "card_7d", "salary_7d", "lifestyle_7d", "quiet_credit"]
@@ -20,15 +20,14 @@ TARGET = "struct(event_ts_ms as ms, event_id as id)"
 
 
 def with_hot(events: DataFrame, hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
-    """Events with `slice_ms`, set for customers with more than `hot_rows` events."""
-    return mark_hot(events, ["customer_id"], "event_ts_ms", hot_rows, largest)
+    """Events with the rows of customers with more than `hot_rows` events marked as hot."""
+    return mark_hot(events, ["customer_id"], hot_rows, largest)
 
 
 def quiet_credits(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
     """Large salary credits with no other transaction in the `quiet_ms` that follow.
 
-    `events` carries `slice_ms`.  Columns: customer_id, slice_ms, event_id, credit_ms, next_ms,
-    next_id; the next transaction is the first one strictly later than the credit.  A transaction
+    Columns: customer_id, that of hot customers where `events` has it, event_id, credit_ms, next_ms, next_id; the next transaction is the first one strictly later than the credit.  A transaction
     exactly at the end of the quiet period is kept too: the credit counts as quiet until it arrives.
     """
     probe = "named_struct('credit_ms', event_ts_ms, 'event_id', event_id)"
@@ -36,7 +35,7 @@ def quiet_credits(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
     ask = f"named_struct('t', event_ts_ms + 1, 'target', if(false, {TARGET}, null), 'probe', {probe})"
     is_large = f"{IS_SALARY} and amount >= {LARGE_CREDIT_AMOUNT}"
     rows = events.where("kind = 'txn'").selectExpr(
-        "customer_id", "slice_ms", f"inline(if({is_large}, array({at}, {ask}), array({at})))"
+        "customer_id", *marks(events), f"inline(if({is_large}, array({at}, {ask}), array({at})))"
     )
     found = first_at_or_after(rows, ["customer_id"])
     return found.where(f"next_ms is null or next_ms >= credit_ms + {quiet_ms}")
@@ -51,10 +50,11 @@ def _mark(t: str, step: int, event_id: str, seq: int, is_event: bool = False, **
 def rolling_features(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
     """One row per event: counts over the trailing day and week, and open quiet credits.
 
-    `events` carries `slice_ms` (see `with_hot`).
+    Hot customers are those that `events` marks (see `with_hot`).
     """
+    hot = marks(events)
     marked = events.selectExpr(
-        "customer_id", "slice_ms", "event_ts_ms", "event_id",
+        "customer_id", *hot, "event_ts_ms", "event_id",
         "int(kind = 'txn' and merchant_category <=> 'retail') as r",
         "int(kind = 'txn' and coalesce(has_credit_card, 0) > 0) as c",
         f"int(kind = 'txn' and {IS_SALARY}) as s",
@@ -64,7 +64,7 @@ def rolling_features(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
     after_day = _mark(f"event_ts_ms + {DAY_MS + 1}", 0, "event_id", 0, retail_24h="-r")
     after_week = _mark(f"event_ts_ms + {WEEK_MS + 1}", 0, "event_id", 0, card_7d="-c", salary_7d="-s", lifestyle_7d="-l")
     rows = marked.selectExpr(
-        "customer_id", "slice_ms",
+        "customer_id", *hot,
         # one array per case: dropping nulls from a common array would need an interpreted lambda
         f"""inline(case when r > 0 and c + s + l > 0 then array({at_event}, {after_day}, {after_week})
                         when r > 0 then array({at_event}, {after_day})
@@ -75,11 +75,11 @@ def rolling_features(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
     lapses = _mark(f"credit_ms + {WEEK_MS + 1}", 0, "event_id", 0, quiet_credit="-1")
     broken = _mark("next_ms", 1, "next_id", 0, quiet_credit="-1")
     quiet = quiet_credits(events, quiet_ms).selectExpr(
-        "customer_id", "slice_ms",
+        "customer_id", *hot,
         f"inline(array({opens}, if(next_ms <=> credit_ms + {quiet_ms}, {broken}, {lapses})))",
     )
     totals = running_totals(rows.unionByName(quiet), ["customer_id"], MEASURES)
-    return totals.where("is_event").selectExpr("customer_id", "slice_ms", "event_id", "t as event_ts_ms", *MEASURES)
+    return totals.where("is_event").selectExpr("customer_id", *hot, "event_id", "t as event_ts_ms", *MEASURES)
 
 
 def category_spend(intents: DataFrame, events: DataFrame) -> DataFrame:
@@ -87,12 +87,11 @@ def category_spend(intents: DataFrame, events: DataFrame) -> DataFrame:
     plus merchant_category, spend and n.
 
     The intent's own event is included, as are earlier events of its millisecond.  An intent asks
-    every category its customer has ever used; n is 0 where the week holds none.  `events` carries
-    `slice_ms`.
+    every category its customer has ever used; n is 0 where the week holds none.
     """
-    keys = ["customer_id", "merchant_category"]
+    keys, hot = ["customer_id", "merchant_category"], marks(events)
     txns = events.where("kind = 'txn'").selectExpr(
-        "customer_id", "coalesce(merchant_category, 'unknown') as merchant_category", "slice_ms", "event_ts_ms",
+        "customer_id", "coalesce(merchant_category, 'unknown') as merchant_category", *hot, "event_ts_ms",
         "event_id", "bigint(cast(amount as decimal(18,2)) * 100) as cents",
     )
 
@@ -101,13 +100,13 @@ def category_spend(intents: DataFrame, events: DataFrame) -> DataFrame:
                 f"'cents', {sign}cents, 'n', {n})")
 
     moves = txns.selectExpr(
-        *keys, "slice_ms",
+        *keys, *hot,
         f"inline(array({move('event_ts_ms', 1, '', 1)}, {move(f'event_ts_ms + {WEEK_MS + 1}', 0, '-', -1)}))",
     )
-    used = txns.select(*keys, "slice_ms").distinct()
+    used = txns.select(*keys, *hot).distinct()
     payload = [c for c in intents.columns if c != "customer_id"]
     probes = intents.join(used, "customer_id").selectExpr(
-        *keys, "slice_ms", "event_ts_ms as t", "1 as step", "event_id", "2 as seq",
+        *keys, *hot, "event_ts_ms as t", "1 as step", "event_id", "2 as seq",
         "0L as cents", "0 as n", f"struct({', '.join(payload)}) as intent",
     )
     totals = running_totals(moves.unionByName(probes, allowMissingColumns=True), keys, ["cents", "n"])

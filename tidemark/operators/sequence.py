@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.slices import first_at_or_after
+from tidemark.operators.slices import first_at_or_after, marks
 from tidemark.schemas import WEEK_MS
 
 
@@ -15,7 +15,7 @@ PROBE = "struct<first_event_id:bigint,first_ts_ms:bigint>"
 def sequence_alerts(events: DataFrame, first: Column, second: Column, within_ms: int = WEEK_MS) -> DataFrame:
     """Each `first` event that is followed by a `second` event of the same customer within the period.
 
-    The alert carries the nearest later `second`.  `events` carries `slice_ms`.
+    The alert carries the nearest later `second`.
     """
     opens = F.when(first, F.struct(
         (F.col("event_ts_ms") + 1).alias("t"), F.lit(None).cast(TARGET).alias("target"),
@@ -26,7 +26,7 @@ def sequence_alerts(events: DataFrame, first: Column, second: Column, within_ms:
         F.struct(F.col("event_ts_ms").alias("ms"), F.col("event_id").alias("id")).alias("target"),
         F.lit(None).cast(PROBE).alias("probe"),
     ))
-    rows = events.select("customer_id", "slice_ms", F.inline(F.array(opens, closes))).where("t is not null")
+    rows = events.select("customer_id", *marks(events), F.inline(F.array(opens, closes))).where("t is not null")
     return (
         first_at_or_after(rows, ["customer_id"])
         .where(F.col("next_ms") <= F.col("first_ts_ms") + within_ms)

@@ -17,9 +17,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.slices import mark_hot
+from tidemark.operators.slices import by_rank, mark_hot, parts
 from tidemark.schemas import HOME_CATEGORIES, HOME_SESSION_LIMIT, WEEK_MS
-from tidemark.session import ensure_checkpoint_dir
 
 FOLD_ROWS = 10_000
 SLICE_ROWS = 100_000
@@ -50,10 +49,8 @@ def home_session_triggers(events: DataFrame, fold_rows: int = FOLD_ROWS, slice_r
     if largest is not None and largest <= fold_rows:
         fired = _fold(home)
     else:
-        marked = mark_hot(home, ["customer_id"], "event_ts_ms", fold_rows)
-        fired = _fold(marked.where("slice_ms is null")).unionByName(
-            _replay_slices(marked.where("slice_ms is not null").drop("slice_ms"), slice_rows)
-        )
+        small, large = parts(mark_hot(home, ["customer_id"], fold_rows))
+        fired = _fold(small).unionByName(_replay_slices(large, slice_rows))
     return fired.selectExpr("customer_id", "event_id", "event_ts_ms", "spend_cents / 100 as spend", "session_window_ms")
 
 
@@ -252,25 +249,14 @@ def _replay(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _by_rank(home: DataFrame, slice_rows: int) -> DataFrame:
-    """Rows with `slice`, rising in event order: at most `slice_rows` rows of the sorted whole, whatever their times.
-
-    Materialised, as a second evaluation may cut elsewhere.
-    """
-    order = ["customer_id", "event_ts_ms", "event_id", "cents"]
-    ensure_checkpoint_dir(home.sparkSession)
-    ranked = home.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
-        "_rank", F.monotonically_increasing_id()
-    ).selectExpr("*", "shiftright(_rank, 33) as _part", f"(_rank & {(1 << 33) - 1}) div {slice_rows} as _piece")
-    ranked = ranked.drop("_rank").checkpoint()
-    pieces = (ranked.agg(F.max("_piece")).first()[0] or 0) + 1
-    return ranked.withColumn("slice", F.col("_part") * pieces + F.col("_piece")).drop("_part", "_piece")
+    return by_rank(home, ["customer_id", "event_ts_ms", "event_id", "cents"], slice_rows)
 
 
 def _replay_slices(home: DataFrame, slice_rows: int) -> DataFrame:
     rows, keys, group = _by_rank(home, slice_rows), ["customer_id", "slice"], F.expr(f"slice div {FAN}")
     # one row for each hot customer
     debts = rows.groupBy("customer_id").agg(F.sum(-F.least("cents", F.lit(0))).alias("debt"))
-    levels = [rows.join(F.broadcast(debts), "customer_id").groupBy(*keys).applyInPandas(_summary, SUMMARY).checkpoint()]
+    levels = [rows.join(debts, "customer_id").groupBy(*keys).applyInPandas(_summary, SUMMARY).checkpoint()]
     span = (levels[0].agg(F.max("slice")).first()[0] or 0) + 1
     while span > FAN:
         levels.append(levels[-1].groupBy("customer_id", group).applyInPandas(_combine, SUMMARY).checkpoint())

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.slices import first_at_or_after, hot_keys, mark_hot
+from tidemark.operators.slices import HOT, SLICE_ROWS, first_at_or_after, hot_keys, mark_hot, parts
 from tidemark.session import ensure_checkpoint_dir
 
 FOLD_ROWS = 200_000
-SLICE_ROWS = 100_000
 
 
 def keep_spaced(rows: DataFrame, keys: list[str], gap_ms: int, fold_rows: int = FOLD_ROWS,
@@ -26,12 +25,10 @@ def keep_spaced(rows: DataFrame, keys: list[str], gap_ms: int, fold_rows: int =
         return _fold(rows, keys, gap_ms)
     ensure_checkpoint_dir(rows.sparkSession)
     rows = rows.checkpoint()
-    if hot_keys(rows, keys, "event_ts_ms", fold_rows).isEmpty():
+    if hot_keys(rows, keys, fold_rows).isEmpty():
         return _fold(rows, keys, gap_ms)
-    marked = mark_hot(rows, keys, "event_ts_ms", fold_rows, slice_rows=min(fold_rows, SLICE_ROWS))
-    small = _fold(marked.where("slice_ms is null").drop("slice_ms"), keys, gap_ms)
-    large = _follow(marked.where("slice_ms is not null"), keys, gap_ms)
-    return small.unionByName(large)
+    small, large = parts(mark_hot(rows, keys, fold_rows))
+    return _fold(small, keys, gap_ms).unionByName(_follow(large, keys, gap_ms, fold_rows))
 
 
 def _fold(rows: DataFrame, keys: list[str], gap_ms: int) -> DataFrame:
@@ -54,22 +51,22 @@ def _fold(rows: DataFrame, keys: list[str], gap_ms: int) -> DataFrame:
     )
 
 
-def _follow(rows: DataFrame, keys: list[str], gap_ms: int) -> DataFrame:
+def _follow(rows: DataFrame, keys: list[str], gap_ms: int, slice_rows: int) -> DataFrame:
     """Pointer doubling: each moment knows its successor; each round doubles the length of the jumps.
 
     After k rounds the first 2**k kept moments of every key are known, so a year of daily offers
     takes nine rounds.  Each round is a join on (key, moment) and is checkpointed.
     """
-    moments = rows.groupBy(*keys, "event_ts_ms", "slice_ms").agg(F.min("event_id").alias("event_id"))
+    moments = rows.groupBy(*keys, "event_ts_ms").agg(F.min("event_id").alias("event_id"))
     target, probe = "struct(event_ts_ms as ms, event_id as id)", "struct(event_ts_ms)"
     rows_of_moment = moments.selectExpr(
-        *keys, "slice_ms",
+        *keys, f"true as {HOT}",
         f"""inline(array(
             named_struct('t', event_ts_ms, 'target', {target}, 'probe', if(false, {probe}, null)),
             named_struct('t', event_ts_ms + {gap_ms}, 'target', if(false, {target}, null), 'probe', {probe})))""",
     )
     jumps = (
-        first_at_or_after(rows_of_moment, keys)
+        first_at_or_after(rows_of_moment, keys, min(slice_rows, SLICE_ROWS))
         .where(F.col("next_ms").isNotNull())
         .select(*keys, "event_ts_ms", "next_ms")
         .checkpoint()
@@ -87,7 +84,5 @@ def _follow(rows: DataFrame, keys: list[str], gap_ms: int) -> DataFrame:
             .select(*keys, "event_ts_ms", F.col("then_ms").alias("next_ms"))
             .checkpoint()
         )
-    chosen = kept.join(moments.drop("slice_ms"), [*keys, "event_ts_ms"])
-    return rows.drop("slice_ms").join(chosen, [*keys, "event_ts_ms", "event_id"]).select(
-        *[c for c in rows.columns if c != "slice_ms"]
-    )
+    chosen = kept.join(moments, [*keys, "event_ts_ms"])
+    return rows.join(chosen, [*keys, "event_ts_ms", "event_id"]).select(*rows.columns)
