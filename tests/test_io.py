@@ -1,13 +1,16 @@
 import json
+import os
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tests.conftest import SMALL
 from tidemark.functions import parsing
 from tidemark.plans import nightly, propensity, quality, reports
 from tidemark.sources import sinks, tables
+from tidemark.sources.keyed import Generations, KeyedTable
 
 KEY = ["window_end_ms", "customer_id", "merchant_category"]
 
@@ -120,6 +123,88 @@ def test_nightly_snapshot_can_be_repeated(spark, tmp_path):
     assert sorted((r.as_of_date, r.total_spend) for r in got) == [(date(2024, 1, 1), 4.0), (date(2024, 1, 2), 4.0)]
 
 
+FEED = ("window_end_ms bigint, customer_id string, merchant_category string, total_spend double, event_count int, "
+        "updated_at timestamp")
+
+
+class Feed:
+    """A spend feed that grows by micro-batches, beside its plain content."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root, self.plain = spark, root, {}
+        self.table = KeyedTable(spark, f"{root}/log", f"{root}/base", sinks.FEED_KEY,
+                                StructType.fromDDL(FEED), buckets=4)
+
+    def put(self, run, batch_id, *rows):
+        frame = self.spark.createDataFrame([(*r, 1, datetime(2024, 1, 1 + batch_id % 20)) for r in rows], FEED)
+        sinks.write_batch(frame, f"{self.root}/log", batch_id, run)
+        self.plain.update({r[:3]: r[3] for r in rows})
+
+    def current(self):
+        return {(r.window_end_ms, r.customer_id, r.merchant_category): r.total_spend for r in self.table.current().collect()}
+
+    def files(self, name):
+        return [f for _, _, files in os.walk(f"{self.root}/{name}") for f in files if f.endswith(".parquet")]
+
+
+def test_a_compacted_feed_has_as_many_files_as_buckets(spark, tmp_path):
+    feed = Feed(spark, str(tmp_path))
+    assert feed.current() == {} and not feed.table.compact()
+    for i in range(12):
+        feed.put(1, i, (i % 5, f"c{i % 7}", "x", float(i)), (1, "c1", "x", float(i)))
+    assert feed.current() == feed.plain
+    assert feed.table.compact() and not feed.table.compact()
+    assert len(feed.files("base")) <= 4 and feed.current() == feed.plain
+    # a folder without its end mark, and a generation without its own, do not count
+    os.makedirs(f"{tmp_path}/log/run=1/batch_id=99")
+    os.makedirs(f"{tmp_path}/base/gen-2")
+    assert feed.table.newest() == (1, 11) and feed.current() == feed.plain
+    reader = feed.table.current()  # begun before the compactions that follow
+    before = dict(feed.plain)
+    feed.put(2, 0, (1, "c1", "x", 100.0), (9, "new", "y", 1.0))
+    assert feed.table.compact() and feed.current() == feed.plain
+    # the log up to the generation before last is gone, that generation still reads
+    assert feed.table.versions() == [(2, 0)] and feed.table.generations.numbers() == [1, 2]
+    assert {tuple(r)[:3]: r.total_spend for r in reader.collect()} == before
+    feed.put(2, 1, (1, "c1", "x", 7.0))
+    assert feed.table.compact() and feed.current() == feed.plain
+    assert feed.table.generations.numbers() == [2, 3] and len(feed.files("base")) <= 8 and len(feed.files("log")) <= 2
+    with pytest.raises(FileExistsError):
+        feed.table.generations.folder.put("ready/gen-3", "{}")
+
+
+def test_nightly_refresh_reads_what_is_new_and_equals_a_rebuild(spark, tmp_path):
+    feed = Feed(spark, str(tmp_path))
+    snapshots = Generations(spark, f"{tmp_path}/snapshots", nightly.SNAPSHOT_KEY, buckets=2)
+    out = f"{tmp_path}/nightly"
+
+    def night(day, *parts):
+        changed = nightly.refresh(feed.table, snapshots, date(2024, 1, day), out)
+        files = changed.inputFiles()
+        assert {p.split("/batch_id=")[0].split("run=")[-1] + "/" + p.split("batch_id=")[1].split("/")[0] for p in files if "/log/" in p} == set(parts)
+        rebuilt = nightly.nightly_enrichment(feed.table.current(), date(2024, 1, day))
+        stored = spark.read.parquet(out).where(F.col("as_of_date") == date(2024, 1, day)).select(*rebuilt.columns)
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rebuilt.collect())) and stored.count() > 0
+        return files
+
+    feed.put(1, 0, (1, "a", "x", 1.0), (2, "a", "x", 2.0), (1, "b", "x", 3.0))
+    feed.put(1, 1, (2, "a", "x", 2.5))
+    night(1, "1/0", "1/1")
+    feed.put(1, 2, (3, "a", "x", 4.0), (1, "b", "x", 5.0), (1, "c", "y", 6.0))
+    night(2, "1/2")
+    night(2)  # again: nothing new is read, the rows are the same
+    feed.table.compact()
+    feed.put(2, 0, (1, "b", "x", 9.0), (0, "a", "x", 9.0))
+    assert all("/base/" not in f for f in night(3, "2/0"))
+    # two compactions later the log's folders are gone; the newest generation stands for them
+    feed.put(2, 1, (8, "a", "x", 1.0))
+    feed.table.compact()
+    feed.put(2, 2, (9, "d", "x", 1.0))
+    feed.table.compact()
+    assert (2, 1) not in feed.table.versions()
+    assert any("/base/" in f for f in night(4))
+
+
 def test_tables_exports_and_snapshots(spark, tmp_path):
     sample, day = tables.sample_tables(spark, SMALL), date(1998, 6, 30)
     inputs = propensity.propensity_inputs(sample, day)
