@@ -4,16 +4,17 @@ import json
 import os
 import time
 from datetime import date, datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tests.conftest import SMALL
 from tidemark.functions import parsing
 from tidemark.operators import panes, sequence
 from tidemark.plans import intents, nightly, reports
 from tidemark.sources import adapters, sinks, tables
-from tidemark.streaming import jobs
+from tidemark.streaming import counters, jobs
 from tidemark.streaming.processor import newest_snapshot
 
 T0 = 1_700_000_000_000
@@ -56,7 +57,7 @@ class Topics:
             parsing.parse_product_events(self.stream(spark, "product")),
             parsing.parse_scores(self.stream(spark, "scores")),
             f"{self.root}/out", f"{self.root}/checkpoint{run}", run, lambda: STAMP + timedelta(days=run), trigger="1 second",
-            tick_ms=tick_ms,
+            tick_ms=tick_ms, counters=f"{self.root}/counters",
         )
 
     def state(self, spark, name):
@@ -217,6 +218,18 @@ def test_a_new_start_repeats_and_loses_nothing(spark, topics):
         wait_for(query, idle_after(4))
     finally:
         query.stop()
+    end = time.time() + 30  # listeners hear of a batch a little later
+    path = f"{topics.root}/counters"
+    while time.time() < end and (not os.path.exists(f"{path}/run=2") or counters.totals(counters.stored_counters(spark, path)).first()[1] < 5):
+        time.sleep(0.5)
+    told = counters.stored_counters(spark, path)
+    assert {r.run for r in told.collect()} == {1, 2} and tuple(counters.totals(told).first()) == (2, 5)
+    # a batch that is told of again is not counted twice
+    again = counters.CounterLog(spark, path, 1, "q", "m")
+    row = told.where("run = 1").first()
+    progress = SimpleNamespace(name="q", batchId=row.batch_id, timestamp="t", observedMetrics={"m": Row(score_updates=1, events=99)})
+    again.onQueryProgress(SimpleNamespace(progress=progress))
+    assert tuple(counters.totals(counters.stored_counters(spark, path)).first()) == (2, 5)
     stored = spark.read.parquet(f"{topics.root}/out/intents").collect()
     assert sorted(r.customer_id for r in stored) == ["a", "b"] and stored[0].event_date == date(2023, 11, 14)
     offers = parsing.flatten_offers(spark.read.parquet(f"{topics.root}/out/offers"), ["received_at"]).collect()

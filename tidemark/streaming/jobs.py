@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -13,6 +14,7 @@ from tidemark.functions.scoring import base_or_default, composite_score, pattern
 from tidemark.plans.intents import assemble, offer_json, realtime_offers
 from tidemark.schemas import OFFER_THRESHOLD, WATERMARK_DELAY, WEEK_MS
 from tidemark.sources import sinks
+from tidemark.streaming.counters import CounterLog
 from tidemark.streaming.processor import OUTPUT_SCHEMA, SEQUENCE_SCHEMA, IntentProcessor, SequenceProcessor
 
 # Time that outputs are stamped with.
@@ -85,12 +87,13 @@ def stored_offers(intents: DataFrame, received_at: datetime) -> DataFrame:
 
 def start_intents(transactions: DataFrame, product_events: DataFrame, scores: DataFrame, out: str,
                   checkpoint: str, run: int, now: Clock, trigger: str = "10 seconds",
-                  tick_ms: int | None = None) -> StreamingQuery:
+                  tick_ms: int | None = None, counters: str | None = None) -> StreamingQuery:
     """Run the intent job; intents, offers and late events land under `out`.
 
     Intents and offers have a deterministic key and are inserted once, whatever is replayed and however
     often the job starts anew.  Late events are a log: a micro-batch replaces its own partition when
     replayed.  A new checkpoint folder needs a higher `run`.  `now` gives the time of arrival.
+    With `counters`, a listener stores there what each batch took in.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -106,9 +109,14 @@ def start_intents(transactions: DataFrame, product_events: DataFrame, scores: Da
         finally:
             batch.unpersist()
 
+    name = f"intents-{run}-{uuid.uuid4().hex}"
+    if counters:
+        spark = transactions.sparkSession
+        spark.streams.addListener(CounterLog(spark, counters, run, name, "intent_input"))
     return (
         intent_stream(transactions, product_events, scores, tick_ms)
         .writeStream.foreachBatch(write)
+        .queryName(name)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(processingTime=trigger)
@@ -135,7 +143,8 @@ def sliding_spend_stream(transactions: DataFrame) -> DataFrame:
 
 def start_sliding_spend(transactions: DataFrame, out: str, checkpoint: str, run: int, now: Clock,
                         trigger: str = "10 seconds") -> StreamingQuery:
-    """Run the spend job; `sinks.latest_by_key` reads the current row of each window, `sinks.compact` shortens the log.
+    """Run the spend job; `sources.keyed.KeyedTable` over `out` reads the current row of each window and
+    shortens the log.
 
     A new checkpoint folder needs a higher `run`.  `now` gives `updated_at`.
     """
