@@ -13,7 +13,7 @@ from tests.conftest import SMALL
 from tidemark.functions import parsing
 from tidemark.operators import panes, sequence
 from tidemark.plans import intents, nightly, reports
-from tidemark.sources import adapters, sinks, tables
+from tidemark.sources import adapters, sinks, tables, topic
 from tidemark.streaming import counters, jobs
 from tidemark.streaming.processor import newest_snapshot
 
@@ -331,3 +331,46 @@ def test_sequence_stream_equals_batch(spark, topics):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert topics.state(spark, "firsts").count() == 0
     assert {r.customer_id for r in topics.state(spark, "seconds").select("key.customer_id").collect()} <= {"z"}
+
+
+def test_a_topic_in_files_can_be_replayed(spark, topics):
+    path = f"{topics.root}/topic"
+
+    def publish(*messages, writer="0"):
+        topics.put("txn", list(messages))
+        query = topic.publish_stream(topics.stream(spark, "txn"), path, writer).option(
+            "checkpointLocation", f"{topics.root}/publish{writer}").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    def taken(starting, name):
+        """What a query finds that starts, or goes on, now."""
+        query = topic.read_topic(spark, path, starting).writeStream.foreachBatch(
+            lambda batch, i: batch.write.mode("append").parquet(f"{topics.root}/{name}")
+        ).option("checkpointLocation", f"{topics.root}/check-{name}").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return sorted(r.value for r in spark.read.schema("value string").parquet(f"{topics.root}/{name}").collect())
+
+    os.makedirs(f"{topics.root}/late")
+    publish("a", "b \u00e9")
+    assert taken("earliest", "early") == ["a", "b \u00e9"]
+    assert taken("latest", "late") == []  # skips what was there
+    publish("c")
+    assert taken("earliest", "early") == ["a", "b \u00e9", "c"]  # goes on at its offset
+    assert taken("latest", "late") == ["c"]
+    # a batch that is committed again adds nothing, nor do parts without a manifest
+    held = topic.Topic(path)
+    part = held.write_part(iter(["twice"]))
+    held.commit([part], "0", 1)
+    assert held.count() == 2 and taken("earliest", "early") == ["a", "b \u00e9", "c"]
+    # a new series of batches reads the message files anew
+    publish("d", writer="1")
+    assert taken("latest", "late") == ["a", "b \u00e9", "c", "c", "d"]
+    assert taken("earliest", "again") == ["a", "a", "b \u00e9", "b \u00e9", "c", "c", "d"]
+    with pytest.raises(ValueError):
+        topic.TopicReader(path, "middle")
