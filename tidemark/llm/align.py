@@ -31,12 +31,12 @@ from tidemark.llm.common import cut, fresh, shared_folder
 # A broadcast holds at most so many pairs of ids.
 COMMON = 50_000
 # Stretches that a task remembers, and the longest of them.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 LONGEST = 256
 # Stretches that are tokenized in one call.
 JOINED = 2048
 # Bytes of text after which a batch of rows is given out.
-FLUSH = 1 << 20
+FLUSH = 1 << 21
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
