@@ -39,6 +39,14 @@ def test_slots_have_no_gaps_with_repeated_and_null_rows(spark):
         assert slots == list(range(len(slots)))
 
 
+def test_slots_with_clashing_names(spark):
+    odd = "_part string, _n long, _before long, _rows long, _start long"
+    placed = spark.createDataFrame([(i % 4, i % 2, "x", 1, 2, 3, 4) for i in range(40)], f"shard int, k long, {odd}")
+    rows = sharding.numbered(placed, "shard", ["k"]).collect()
+    assert {(r._part, r._n, r._before, r._rows, r._start) for r in rows} == {("x", 1, 2, 3, 4)}
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(10)) for s in range(4))
+
+
 def test_no_shards_and_no_rows(spark):
     empty = spark.createDataFrame([], "k long, shard string")
     assert sharding.shard_records(empty, "k", [1.0]).count() == 0

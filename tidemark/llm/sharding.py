@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, fresh
 
 # Slots are counted within 16 ** 3 parts of each shard, so that no task orders a whole shard.
 PART_DIGITS = 3
@@ -62,18 +62,19 @@ def numbered(placed: DataFrame, shard: str, order: list[str]) -> DataFrame:
     one row for each task.
     """
     names = placed.columns
+    part, n, before, rows, start = (fresh(placed, c) for c in ("_part", "_n", "_before", "_rows", "_start"))
     text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in order])
-    part = F.substring(F.md5(text.cast("binary")), 1, PART_DIGITS)
-    counted = cut(placed.withColumn("_part", part).groupBy(*names, "_part").agg(F.count("*").alias("_n")))
-    in_part = Window.partitionBy(shard, "_part").orderBy(*order)
-    before = F.sum("_n").over(in_part.rowsBetween(Window.unboundedPreceding, -1))
-    local = counted.withColumn("_before", F.coalesce(before, F.lit(0)))
-    parts = counted.groupBy(shard, "_part").agg(F.sum("_n").alias("_rows"))
-    earlier = F.sum("_rows").over(
-        Window.partitionBy(shard).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    digits = F.substring(F.md5(text.cast("binary")), 1, PART_DIGITS)
+    counted = cut(placed.withColumn(part, digits).groupBy(*names, part).agg(F.count("*").alias(n)))
+    in_part = Window.partitionBy(shard, part).orderBy(*order)
+    earlier = F.sum(n).over(in_part.rowsBetween(Window.unboundedPreceding, -1))
+    local = counted.withColumn(before, F.coalesce(earlier, F.lit(0)))
+    parts = counted.groupBy(shard, part).agg(F.sum(n).alias(rows))
+    in_shard = F.sum(rows).over(
+        Window.partitionBy(shard).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = parts.select(shard, "_part", F.coalesce(earlier, F.lit(0)).alias("_start"))
-    first = F.col("_start") + F.col("_before")
-    return local.join(starts, [shard, "_part"]).select(
-        *names, F.explode(F.sequence(first, first + F.col("_n") - 1)).alias("slot")
+    starts = parts.select(shard, part, F.coalesce(in_shard, F.lit(0)).alias(start))
+    first = F.col(start) + F.col(before)
+    return local.join(starts, [shard, part]).select(
+        *names, F.explode(F.sequence(first, first + F.col(n) - 1)).alias("slot")
     )
