@@ -114,6 +114,17 @@ def test_embedding_links_equal_brute_force(spark):
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_vectors_of_any_size(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(60, 8))
+    base[30:] = base[:30] + rng.normal(scale=0.05, size=(30, 8))
+    scale = [1.0, 1e-200, 1e200, 1e-310, 1e300]
+    frame = spark.createDataFrame(
+        [(i, [float(x) * scale[i % 5] for x in v], 1) for i, v in enumerate(base)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embeddings.near_duplicates(frame, lists=4).collect()}
+    check_vectors([(i, [float(x) for x in v], 1) for i, v in enumerate(base)], got)
+
+
 def test_embeddings_of_the_sample(spark):
     frame = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     rows = [(r.vec_id, [float(x) for x in r.embedding], r.label) for r in frame.collect()]

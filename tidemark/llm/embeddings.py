@@ -98,8 +98,16 @@ def table_distances(queries: np.ndarray, centre: np.ndarray, codes: np.ndarray,
     return np.sqrt(np.maximum(total, 0))
 
 
+def _scaled(raw: np.ndarray) -> np.ndarray:
+    """Each row by a power of two that brings its largest component near 1, so that squares neither vanish nor
+    overflow; no digit of an ordinary vector changes."""
+    _, power = np.frexp(np.abs(raw).max(1))
+    return np.ldexp(raw, -power[:, None])
+
+
 def _unit(raw: np.ndarray) -> np.ndarray:
-    return raw / np.sqrt((raw * raw).sum(1))[:, None]
+    near = _scaled(raw)
+    return near / np.sqrt((near * near).sum(1))[:, None]
 
 
 def _file(book: Codebook, reach: float):
@@ -112,6 +120,7 @@ def _file(book: Codebook, reach: float):
                 for i, vector in enumerate(batch.column(4)):
                     values = np.asarray(vector.values, dtype=np.float64)
                     raw[i, :len(values)] = values
+                raw = _scaled(raw)
                 home, codes, error, plane = encode(_unit(raw), book)
                 probes = plane <= reach
                 probes[np.arange(len(home)), home] = True

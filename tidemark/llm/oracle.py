@@ -54,6 +54,26 @@ SELECT doc_id, size, source_size, target,
 FROM run LEFT JOIN last ON run.source IS NOT DISTINCT FROM last.source
 """
 
+ORACLE["op6_embeddings"] = """
+WITH RECURSIVE good AS MATERIALIZED (
+  SELECT vec_id, label, len(embedding) AS dim, CAST(embedding AS DOUBLE[]) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM good a JOIN good b ON a.label = b.label AND a.dim = b.dim AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.93
+), reach(a, b) AS (
+  SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a
+), counted AS (SELECT a, count(*) AS n FROM pairs GROUP BY a),
+smallest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+       vec_id <= coalesce(b, vec_id) AS kept
+FROM embeddings LEFT JOIN counted ON counted.a = vec_id LEFT JOIN smallest ON smallest.a = vec_id
+"""
+
 ORACLE["op7_urls"] = r"""
 WITH u AS (
   SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM pages
