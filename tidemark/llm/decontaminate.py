@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,17 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(_normal(text))
 
 
+@lru_cache(maxsize=1)
+def _powers(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first `count` powers of `base` and of its inverse modulo 2 ** 64."""
+    found = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        steps = np.full(count, factor, dtype=np.uint64)
+        steps[0] = 1
+        found.append(np.cumprod(steps))
+    return found[0], found[1]
+
+
 class _Words:
     """Where the words of a text begin and end in its UTF-8 bytes, and a hash of each, without a Python object a word.
 
@@ -60,35 +72,34 @@ class _Words:
     """
 
     BASE = 0x100000001B3
-    CHUNK = 50_000
-    _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+    # Bytes hashed at a time; the powers of the base take 16 bytes for each.
+    CHUNK = 1 << 18
 
     def __init__(self, text: str | None):
         self.data = _normal(text).encode("utf-8", "replace")
         self.bytes = np.frombuffer(self.data, dtype=np.uint8)
-        edges = np.flatnonzero(np.diff(_IN_WORD[self.bytes].view(np.int8), prepend=0, append=0))
+        inside = np.zeros(len(self.bytes) + 2, dtype=bool)
+        inside[1:-1] = _IN_WORD[self.bytes]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
         self.starts, self.ends = edges[0::2], edges[1::2]
 
-    @classmethod
-    def _up_to(cls, n: int) -> list[np.ndarray]:
-        """Powers of BASE and of its inverse."""
-        if len(cls._powers[0]) < n:
-            for i, factor in enumerate((cls.BASE, pow(cls.BASE, -1, 1 << 64))):
-                steps = np.full(2 * n, factor, dtype=np.uint64)
-                steps[0] = 1
-                cls._powers[i] = np.cumprod(steps)
-        return cls._powers
-
     def hashes(self) -> np.ndarray:
-        found = [np.zeros(0, dtype=np.uint64)]
-        for at in range(0, len(self.starts), self.CHUNK):
-            starts, ends = self.starts[at:at + self.CHUNK], self.ends[at:at + self.CHUNK]
-            first = starts[0]
-            powers, inverse = self._up_to(int(ends[-1] - first))
-            part = self.bytes[first:ends[-1]].astype(np.uint64) + np.uint64(1)
+        found = np.zeros(len(self.starts), dtype=np.uint64)
+        powers, inverse = _powers(self.BASE, self.CHUNK)
+        for at in range(0, len(self.bytes), self.CHUNK):
+            stop = min(at + self.CHUNK, len(self.bytes))
+            # words that reach into this chunk; a word that began earlier goes on where its last part ended
+            first, last = np.searchsorted(self.ends, at, "right"), np.searchsorted(self.starts, stop, "left")
+            if first == last:
+                continue
+            part = self.bytes[at:stop].astype(np.uint64) + np.uint64(1)
             sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(part * powers[:len(part)])))
-            found.append((sums[ends - first] - sums[starts - first]) * inverse[starts - first])
-        return np.concatenate(found)
+            starts, ends = np.maximum(self.starts[first:last], at) - at, np.minimum(self.ends[first:last], stop) - at
+            added = (sums[ends] - sums[starts]) * inverse[starts]
+            if self.starts[first] < at:
+                added[:1] *= np.uint64(pow(self.BASE, int(at - self.starts[first]), 1 << 64))
+            found[first:last] += added
+        return found
 
     def between(self, first: int, stop: int) -> str:
         """The words from `first` to before `stop`, with what lies between them."""
