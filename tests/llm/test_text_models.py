@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -127,6 +128,25 @@ def test_word_places_and_hashes():
         assert found.hashes().tolist() == plain
 
 
+def test_a_huge_word_and_chunk_ends():
+    rng = random.Random(8)
+    text = " ".join("q" * rng.randint(1, 700_000) for _ in range(6)) + " end"
+    found = decontaminate._Words(text)
+    modulus = 2 ** 64
+    plain = []
+    for word in decontaminate.words(text):
+        # a word of equal bytes: the geometric sum, taken modulo (BASE - 1) * 2 ** 64 to divide exactly
+        wide = modulus * (found.BASE - 1)
+        plain.append((ord(word[0]) + 1) * ((pow(found.BASE, len(word), wide) - 1) % wide // (found.BASE - 1)) % modulus)
+    assert found.hashes().tolist()[:-1] == plain[:-1]
+    tracemalloc.start()
+    long = decontaminate._Words("z" * 50_000_000 + " tail")
+    assert len(long.hashes()) == 2 and long.hashes()[1] == decontaminate._Words("tail").hashes()[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400_000_000
+
+
 def leak_fixture():
     rng = random.Random(4)
     vocabulary = [f"v{i}" for i in range(400)] + ["the", "of", "and"] * 60
@@ -228,6 +248,69 @@ def test_extraction_on_held_out_pages(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def small_labeller():
+    rng = np.random.default_rng(1)
+    model = html_extract.Labeller.fresh(html_extract.INPUTS)
+    model.embed = rng.normal(0, 0.5, model.embed.shape)
+    model.offset = np.array([-0.05])
+    return model
+
+
+def plain_labels(model, blocks):
+    """Block by block, one vector at a time, in both directions."""
+    places, weights, measures = html_extract.inputs(blocks, {})
+    size, sums = html_extract.HIDDEN, np.full(len(blocks), model.offset[0])
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for order, columns, recur, out in (
+        (range(len(blocks)), slice(0, 4 * size), model.ahead, model.out[:size]),
+        (range(len(blocks) - 1, -1, -1), slice(4 * size, None), model.back, model.out[size:]),
+    ):
+        h = c = np.zeros(size)
+        for n in order:
+            z = weights[n] @ model.embed[places[n]][:, columns] + (measures[n] @ model.measure + model.bias)[columns] + h @ recur
+            i, f, o = (sigmoid(z[k * size:(k + 1) * size]) for k in range(3))
+            c = f * c + i * np.tanh(z[3 * size:])
+            h = o * np.tanh(c)
+            sums[n] += h @ out
+    return sums
+
+
+def test_labels_equal_a_plain_lstm_whatever_is_read_together(monkeypatch):
+    rng, model = random.Random(2), small_labeller()
+    pages = [[html_extract.Block(("html", "body", rng.choice(["div", "nav", ".x"])), rng.choice(["p", "li"]),
+                                 [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9)))], 0) for _ in range(n)]
+             for n in (0, 1, 5, 37, 90, 3, 41)]
+    expected = [plain_labels(model, p) for p in pages]
+    assert all(np.abs(e).min() > 1e-9 for e in expected if len(e))
+    for steps, gather in ((4096, 16_384), (100, 7), (16, 20)):
+        monkeypatch.setattr(html_extract, "_STEPS", steps)
+        monkeypatch.setattr(html_extract, "_GATHER", gather)
+        got = model.labels(pages, {})
+        assert [g.tolist() for g in got] == [(e >= 0).tolist() for e in expected]
+
+
+def test_a_page_of_many_blocks_takes_bounded_memory():
+    model = small_labeller()
+    html = "<body><p>some</p>" + "<ul>" + "<li>item one</li>" * 100_000 + "</ul><p>text</p></body>"
+    blocks = leaf_blocks(html)
+    few = leaf_blocks("<body><p>a b</p></body>")
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    found = model.labels([few, blocks, few], {})
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert [len(f) for f in found] == [1, 100_002, 1] and peak < 100_000_000
+
+
+def test_pages_whose_names_say_nothing(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").orderBy("page_id").select("html").collect()]
+    model = html_extract.train(pages[:60])
+    test = [leaf_blocks(p) for p in pages[60:]]
+    got = model.labels([html_extract.nameless(b) for b in test], {})
+    wrong = sum(bool((g != html_extract.named_labels(b).astype(bool)).any()) for g, b in zip(got, test))
+    assert wrong <= 0.05 * len(test)
+
+
 def test_lstm_gradients_are_the_slopes_of_the_loss():
     rng = np.random.default_rng(0)
     model = html_extract.Labeller.fresh(6)

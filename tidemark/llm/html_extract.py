@@ -32,6 +32,9 @@ INPUTS = PATH_BUCKETS + WORD_BUCKETS
 MEASURES = 4
 HIDDEN = 16
 _BATCH = 32
+# Blocks, padding included, and inputs that are held as vectors at a time.
+_STEPS = 4096
+_GATHER = 16_384
 
 # What element names say about their content.
 BOILERPLATE_TAGS = ["nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "head", "title", "search"]
@@ -48,6 +51,8 @@ TEXT_FRAMES = [
 # Places a piece of main text may have inside its frame.
 TEXT_PLACES = [("ul", "li"), ("ol", "li"), ("blockquote", "p"), ("section", "p"), ("div",), ("div", "p"), ("table", "tr", "td"),
                ("h2",), ("h3",), ("dl", "dd"), ("figure", "figcaption"), ("pre",)]
+# Elements that say how a block is set, not what it is.
+PLAIN_LEAVES = {"p", "div", "li", "h1", "h2", "h3", "td", "span"}
 TEXT_NAMES = {"article", "main", ".content", ".post", ".entry", ".main", ".article", ".story"}
 
 
@@ -92,8 +97,16 @@ def varied(blocks: list[Block], labels: np.ndarray, strange: list[str], rng: np.
     return [b for b, _ in page], np.array([x for _, x in page])
 
 
-def inputs(blocks: list[Block], cache: dict[str, int]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Per block: input places, their weights, and the measures."""
+def nameless(blocks: list[Block]) -> list[Block]:
+    """The page as it would be with nothing but `div` around its leaves and no class, id or role."""
+    return [Block(("html", "body", "div", *((b.leaf,) if b.leaf in PLAIN_LEAVES else ())),
+                  b.leaf if b.leaf in PLAIN_LEAVES else "div", b.pieces, b.linked) for b in blocks]
+
+
+def inputs(blocks: list[Block], cache: dict[str, int], first: int = 0, of: int | None = None
+           ) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Per block: input places, their weights, and the measures; `blocks` begin at number `first` of the page's `of`."""
+    of = len(blocks) if of is None else of
     places, weights, measures = [], [], np.zeros((len(blocks), MEASURES))
 
     def bucket(name: str, size: int) -> int:
@@ -109,9 +122,15 @@ def inputs(blocks: list[Block], cache: dict[str, int]) -> tuple[list[np.ndarray]
         path = {bucket(f"<{n}", PATH_BUCKETS) for n in block.path} | {bucket(f"<<{block.leaf}", PATH_BUCKETS)}
         words = text.lower().split()
         hashed = [PATH_BUCKETS + bucket(w, WORD_BUCKETS) for w in words]
-        places.append(np.array([*path, *hashed], dtype=np.int32))
-        weights.append(np.concatenate((np.ones(len(path)), np.full(len(words), 1 / max(1, len(words))))))
-        measures[i] = (np.log1p(len(text)) / 8, min(1.0, block.linked / max(1, len(text))), i / len(blocks),
+        place = np.array([*path, *hashed], dtype=np.int32)
+        weight = np.concatenate((np.ones(len(path)), np.full(len(words), 1 / max(1, len(words)))))
+        if len(place) > INPUTS:
+            sums = np.bincount(place, weight)
+            place = np.flatnonzero(sums).astype(np.int32)
+            weight = sums[place]
+        places.append(place)
+        weights.append(weight)
+        measures[i] = (np.log1p(len(text)) / 8, min(1.0, block.linked / max(1, len(text))), (first + i) / of,
                        sum(text.count(c) for c in ".,;:!?") / max(1, len(words)))
     return places, weights, measures
 
@@ -120,10 +139,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _forward(pre: np.ndarray, recur: np.ndarray, keep: bool = False):
-    """LSTM over (batch, steps, 4 * hidden) inputs: the outputs and, on request, what the way back needs."""
+def _forward(pre: np.ndarray, recur: np.ndarray, keep: bool = False, state: tuple | None = None):
+    """LSTM over (batch, steps, 4 * hidden) inputs: the outputs, on request what the way back needs, and the state."""
     batch, steps, _ = pre.shape
-    h = c = np.zeros((batch, HIDDEN))
+    h, c = state or (np.zeros((batch, HIDDEN)), np.zeros((batch, HIDDEN)))
     outputs, kept = np.zeros((batch, steps, HIDDEN)), []
     for t in range(steps):
         z = pre[:, t] + h @ recur
@@ -137,7 +156,21 @@ def _forward(pre: np.ndarray, recur: np.ndarray, keep: bool = False):
         outputs[:, t] = h
         if keep:
             kept.append((i, f, o, g, before, earlier, squashed))
-    return outputs, kept
+    return outputs, kept, (h, c)
+
+
+def _summed(embed: np.ndarray, places: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
+    """The weighted sum of the vectors of each block's inputs, gathered about _GATHER at a time."""
+    ends = np.cumsum([len(p) for p in places])
+    found, at = np.zeros((len(places), embed.shape[1])), 0
+    while at < len(places):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] - len(places[at]) + _GATHER, "right")))
+        part = places[at:stop]
+        starts = np.cumsum([0, *(len(p) for p in part[:-1])])
+        found[at:stop] = np.add.reduceat(
+            embed[np.concatenate(part)] * np.concatenate(weights[at:stop])[:, None], starts)
+        at = stop
+    return found
 
 
 def _backward(slope: np.ndarray, kept: list, recur: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,8 +219,7 @@ class Labeller:
             if weights is None:  # training: a matrix over the inputs that occur
                 summed = places @ self.embed
             else:
-                flat, starts = np.concatenate(places), np.cumsum([0, *(len(p) for p in places[:-1])])
-                summed = np.add.reduceat(self.embed[flat] * np.concatenate(weights)[:, None], starts)
+                summed = _summed(self.embed, places, weights)
             pre[n, :len(places)] = summed + measures @ self.measure + self.bias
         reverse = np.take_along_axis(pre[:, :, 4 * HIDDEN:], order[:, :, None], axis=1)
         return pre[:, :, :4 * HIDDEN], reverse
@@ -200,8 +232,8 @@ class Labeller:
         # reading backwards: the last block first, padding stays at the end
         order = np.where(at < lengths[:, None], lengths[:, None] - 1 - at, at)
         forwards, reverse = self._inputs(pages, order)
-        left, kept_left = _forward(forwards, self.ahead, keep)
-        right, kept_right = _forward(reverse, self.back, keep)
+        left, kept_left, _ = _forward(forwards, self.ahead, keep)
+        right, kept_right, _ = _forward(reverse, self.back, keep)
         both = np.concatenate((left, np.take_along_axis(right, order[:, :, None], axis=1)), axis=2)
         return both @ self.out + self.offset[0], (order, lengths, both, kept_left, kept_right)
 
@@ -225,15 +257,42 @@ class Labeller:
         return {"embed": embed, "measure": measure, "bias": into.sum((0, 1)), "ahead": turn_left, "back": turn_right,
                 "out": np.einsum("bt,bth->h", error, both), "offset": np.array([error.sum()])}
 
+    def _long(self, blocks: list[Block], cache: dict[str, int]) -> np.ndarray:
+        """Log-odds of the blocks of one long page: each direction is read in stretches that hand on their state."""
+        logits = np.full(len(blocks), self.offset[0])
+        stretches = range(0, len(blocks), _STEPS)
+        for turn, recur, out in ((1, self.ahead, self.out[:HIDDEN]), (-1, self.back, self.out[HIDDEN:])):
+            columns, state = slice(0, 4 * HIDDEN) if turn == 1 else slice(4 * HIDDEN, None), None
+            for at in stretches[::turn]:
+                places, weights, measures = inputs(blocks[at:at + _STEPS], cache, at, len(blocks))
+                pre = _summed(self.embed[:, columns], places, weights) + (measures @ self.measure + self.bias)[:, columns]
+                outputs, _, state = _forward(pre[None, ::turn], recur, state=state)
+                logits[at:at + len(places)] += outputs[0, ::turn] @ out
+        return logits
+
     def labels(self, pages: list[list[Block]], cache: dict[str, int]) -> list[np.ndarray]:
-        """Whether each block of each page is main text."""
+        """Whether each block of each page is main text.
+
+        Pages are read together while these, padded to the longest, have at most _STEPS blocks.
+        """
         found: list[np.ndarray] = [np.zeros(0, dtype=bool)] * len(pages)
-        filled = sorted((n for n, p in enumerate(pages) if p), key=lambda n: len(pages[n]))
-        for at in range(0, len(filled), _BATCH):
-            part = filled[at:at + _BATCH]
+        part: list[int] = []
+
+        def settle() -> None:
             logits, _ = self.run([inputs(pages[n], cache) for n in part])
             for row, n in enumerate(part):
                 found[n] = logits[row, :len(pages[n])] >= 0
+            part.clear()
+
+        for n in sorted((n for n, p in enumerate(pages) if p), key=lambda n: len(pages[n])):
+            if part and (len(part) == _BATCH or (len(part) + 1) * len(pages[n]) > _STEPS):
+                settle()
+            if len(pages[n]) > _STEPS:
+                found[n] = self._long(pages[n], cache) >= 0
+            else:
+                part.append(n)
+        if part:
+            settle()
         return found
 
 
@@ -257,6 +316,7 @@ def train(pages: list[str], epochs: int = 20, seed: int = 42) -> Labeller:
         for _ in range(VARIANTS):
             changed, marks = varied(blocks, labels, strange, rng)
             data.append((inputs(changed, cache), marks))
+        data.append((inputs(nameless(blocks), cache), labels))
     used = np.unique(np.concatenate([p for (places, _, _), _ in data for p in places])) if data else np.zeros(0, dtype=int)
     data = [((_matrix(places, weights, used), None, measures), y) for (places, weights, measures), y in data]
     model = Labeller.fresh(len(used), seed)
