@@ -373,7 +373,7 @@ def composite_score(spark: SparkSession, sf: str) -> DataFrame:
 def category_spend_7d(spark: SparkSession, sf: str) -> DataFrame:
     events = adapters.all_events(spark, sf)
     largest = busiest(events, ["customer_id"])
-    return intents.category_spend_of(intents.kept_intents(events, largest=largest), events, largest)
+    return intents.category_spend_of(intents.kept_intents(events, largest=largest), events)
 
 
 def intent_events(spark: SparkSession, sf: str) -> DataFrame:

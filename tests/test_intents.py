@@ -66,12 +66,12 @@ def test_signals_and_kept_intents(spark, seed, tick, span, hot, monkeypatch):
     assert signal_rows(got) == in_order(signals)
     got_kept = intents.kept_intents(df, largest=largest, fold_rows=3 if hot else 10**6)
     assert signal_rows(got_kept) == in_order(kept)
-    per_category = intents.category_spend_of(got_kept, df, largest).collect()
+    per_category = intents.category_spend_of(got_kept, df).collect()
     found = {}
     for r in per_category:
         found.setdefault((r.customer_id, r.event_id), {})[r.merchant_category] = r.spend
     assert found == spend
-    mapped = intents.with_category_spend(got_kept, df, largest).collect()
+    mapped = intents.with_category_spend(got_kept, df).collect()
     assert {(r.customer_id, r.event_id): r.category_spend_7d for r in mapped} == spend
     assert len(mapped) == len(kept)
 

@@ -82,34 +82,35 @@ def rolling_features(events: DataFrame, quiet_ms: int = QUIET_MS) -> DataFrame:
     return totals.where("is_event").selectExpr("customer_id", *hot, "event_id", "t as event_ts_ms", *MEASURES)
 
 
+def _day(ms: str) -> str:
+    return f"({ms} - pmod({ms}, {DAY_MS})) div {DAY_MS}"
+
+
 def category_spend(intents: DataFrame, events: DataFrame) -> DataFrame:
     """Spend and count per category over the week up to each intent, in rows of the intent's columns
-    plus merchant_category, spend and n.
+    plus merchant_category, spend and n; only categories that the week holds.
 
-    The intent's own event is included, as are earlier events of its millisecond.  An intent asks
-    every category its customer has ever used; n is 0 where the week holds none.
+    The intent's own event is included, as are earlier events of its millisecond.  The days wholly inside the week come
+    from daily sums, those it begins and ends in from single transactions, both in one join by customer and day.
+    Kept intents are a day apart, so a customer's day meets few of them; a day of very many transactions
+    is combined beforehand or, at the ends, left for AQE to split.
     """
-    keys, hot = ["customer_id", "merchant_category"], marks(events)
     txns = events.where("kind = 'txn'").selectExpr(
-        "customer_id", "coalesce(merchant_category, 'unknown') as merchant_category", *hot, "event_ts_ms",
-        "event_id", "bigint(cast(amount as decimal(18,2)) * 100) as cents",
-    )
-
-    def move(t: str, step: int, sign: str, n: int) -> str:
-        return (f"named_struct('t', {t}, 'step', {step}, 'event_id', event_id, 'seq', 1, "
-                f"'cents', {sign}cents, 'n', {n})")
-
-    moves = txns.selectExpr(
-        *keys, *hot,
-        f"inline(array({move('event_ts_ms', 1, '', 1)}, {move(f'event_ts_ms + {WEEK_MS + 1}', 0, '-', -1)}))",
-    )
-    used = txns.select(*keys, *hot).distinct()
-    payload = [c for c in intents.columns if c != "customer_id"]
-    probes = intents.join(used, "customer_id").selectExpr(
-        *keys, *hot, "event_ts_ms as t", "1 as step", "event_id", "2 as seq",
-        "0L as cents", "0 as n", f"struct({', '.join(payload)}) as intent",
+        "customer_id", f"{_day('event_ts_ms')} as _day", "coalesce(merchant_category, 'unknown') as merchant_category",
+        "bigint(cast(amount as decimal(18,2)) * 100) as _cents", "event_ts_ms as _ms", "event_id as _id",
     )
-    totals = running_totals(moves.unionByName(probes, allowMissingColumns=True), keys, ["cents", "n"])
-    return totals.where("intent is not null").selectExpr(
-        "customer_id", "merchant_category", "cents / 100 as spend", "n", "intent.*"
+    daily = txns.groupBy("customer_id", "_day", "merchant_category").agg(
+        F.sum("_cents").alias("_cents"), F.count("*").alias("n")).withColumn("_end", F.lit(False))
+    single = txns.withColumns({"n": F.lit(1).cast("long"), "_end": F.lit(True)})
+    spent = daily.unionByName(single, allowMissingColumns=True)
+    first, last = _day(f"event_ts_ms - {WEEK_MS}"), _day("event_ts_ms")
+    days = intents.selectExpr("*", f"explode(sequence({first}, {last})) as _day").withColumn(
+        "_end", F.expr(f"_day = {first} or _day = {last}"))
+    inside = F.expr(f"not _end or (_ms >= event_ts_ms - {WEEK_MS} "
+                    "and (_ms < event_ts_ms or _ms = event_ts_ms and _id <= event_id))")
+    return (
+        days.join(spent, ["customer_id", "_day", "_end"])
+        .where(inside)
+        .groupBy(*intents.columns, "merchant_category")
+        .agg((F.coalesce(F.sum("_cents"), F.lit(0)) / 100).alias("spend"), F.sum("n").alias("n"))
     )

@@ -80,19 +80,18 @@ def enrich(intents: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def category_spend_of(intents: DataFrame, events: DataFrame, largest: int | None = None) -> DataFrame:
+def category_spend_of(intents: DataFrame, events: DataFrame) -> DataFrame:
     """Spend per category of the week up to each intent's event, one row per event and category."""
     asked = intents.select("customer_id", "event_id", "event_ts_ms").distinct()
-    spend = rolling.category_spend(asked, rolling.with_hot(events, largest=largest))
-    return spend.where("n > 0").select("customer_id", "event_id", "merchant_category", "spend")
+    return rolling.category_spend(asked, events).select("customer_id", "event_id", "merchant_category", "spend")
 
 
-def with_category_spend(intents: DataFrame, events: DataFrame, largest: int | None = None) -> DataFrame:
+def with_category_spend(intents: DataFrame, events: DataFrame) -> DataFrame:
     """Adds the category -> spend map.  The intents travel through as payload, so they are computed
-    once; each signal implies a transaction of its customer, so none is lost."""
-    spend = rolling.category_spend(intents, rolling.with_hot(events, largest=largest))
-    pairs = F.sort_array(F.collect_list(F.expr("if(n > 0, struct(merchant_category, spend), null)")))
-    return spend.groupBy(*intents.columns).agg(F.map_from_entries(pairs).alias("category_spend_7d"))
+    once; each signal implies a transaction in its week, so none is lost."""
+    pairs = F.sort_array(F.collect_list(F.struct("merchant_category", "spend")))
+    return rolling.category_spend(intents, events).groupBy(*intents.columns).agg(
+        F.map_from_entries(pairs).alias("category_spend_7d"))
 
 
 def intent_key() -> Column:
@@ -124,7 +123,7 @@ def assemble(enriched: DataFrame) -> DataFrame:
 def intent_events(events: DataFrame, scores: DataFrame) -> DataFrame:
     """Stored intents of a batch of events in event-time order, where nothing is late."""
     largest = busiest(events, ["customer_id"])
-    kept = with_category_spend(kept_intents(events, largest=largest), events, largest)
+    kept = with_category_spend(kept_intents(events, largest=largest), events)
     return assemble(enrich(kept, scores).withColumn("is_late", F.lit(False)))
 
 
