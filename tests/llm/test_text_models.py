@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tidemark.llm import decontaminate, html_extract, toxicity, urls
+from tidemark.llm.common import cut
 from tidemark.llm.html_blocks import leaf_blocks
 
 CATEGORIES = ["low_quality", "toxic"]
@@ -201,6 +202,25 @@ def test_a_single_copy_edited_every_sixth_word_is_found(spark):
     assert found.score == (2 * 19 - 3) / 46
 
 
+def test_common_seeds_lose_nothing_and_pair_only_beside_a_rare_word(spark):
+    docs, items, _ = leak_fixture()
+    frame = spark.createDataFrame([*docs.items(), (None, docs[1])], "doc_id long, text string")
+    tests = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows = [{tuple(r) for r in decontaminate.matches(frame, tests, settings=decontaminate.Settings(rare=n)).collect()} for n in (10**9, 3, 0)]
+    assert rows[0] and rows[0] == rows[1] == rows[2]
+
+    phrase = "which of the following"
+    texts = [(d, f"{phrase} a{d} b{d} c{d}") for d in range(200)] + [(200, f"x {phrase} q7u q7v edited q7x q7y z")]
+    quiz = [(i, f"{phrase} q{i}u q{i}v q{i}w q{i}x q{i}y") for i in range(300)]
+    docs, tests = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(quiz, "item_id long, text string")
+    settings = decontaminate.Settings()
+    segments = cut(decontaminate.item_segments(tests, settings))
+    hits = cut(decontaminate._hits(docs, "doc_id", decontaminate.bitmap(segments.select(F.explode("grams").alias("gram"))), settings, 9))
+    assert decontaminate.candidates(hits, segments, settings).count() == 1
+    (found,) = decontaminate.matches(docs, tests).collect()
+    assert (found.doc_id, found.item_id, found.score) == (200, 7, (2 * 8 - 1) / 18)
+
+
 def test_skipped_alignments_could_not_have_scored():
     settings, rng = decontaminate.Settings(), random.Random(3)
     for _ in range(300):

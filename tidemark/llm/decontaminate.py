@@ -1,11 +1,15 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Test items are cut into segments.  Every word n-gram of a segment is a seed, so one that an edit left whole is enough.
-Training texts are searched for seeds; around each hit the passage is aligned with the segment, word by word, and
-scored against the segment's own score.  Edited and paraphrased copies keep some seeds and most of the alignment.
-Most pairs that only a common n-gram brings together share too few words to reach the least score; they are not aligned.
+Test items are cut into segments, whose word n-grams are the seeds.  Training texts are searched for them; around the
+hits the passage is aligned with the segment, word by word, and scored against the segment's own score.  Edited and
+paraphrased copies keep some seeds and most of the alignment.
 
-A pass over the texts needs only a bitmap of fixed size on each executor, whatever the number of items: it lets
+Hits are counted first.  A rare seed joins a passage with its segments by itself.  A common one, which would join every
+passage that holds it with every segment that holds it, does so only beside one of the segment's rarest words: a copy
+keeps so many of the words that it cannot miss all of these, so nothing is lost.  Once a pair is found, common seeds
+count as evidence of where the copy lies.
+
+The pass over the texts needs only a bitmap of fixed size on each executor, whatever the number of items: it lets
 through few n-grams that are none of the items', and an exact join drops these.
 """
 
@@ -17,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.llm.common import cut, fresh, map_rows, small_side
@@ -34,11 +38,13 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Settings:
     """gram: words of a seed.  segment: most words of an item that are aligned at once.
+    rare: most pairs of a passage and a segment that a seed may make alone; changes the work, not the rows.
     least: share of a segment's own score that makes a passage a copy.
     match, mismatch, gap: Smith-Waterman scores."""
 
     gram: int = 3
     segment: int = 256
+    rare: int = 1_000
     least: float = 0.5
     match: int = 2
     mismatch: int = -1
@@ -118,7 +124,9 @@ def grams(single: np.ndarray, size: int) -> np.ndarray:
 
 
 def item_segments(items: DataFrame, settings: Settings) -> DataFrame:
-    """(item_id, text) -> (item_id, segment, words, grams): word lists of at most `segment` words and their n-grams."""
+    """(item_id, text) -> (item_id, segment, words, grams, seg): word lists of at most `segment` words and their n-grams.
+
+    `seg` numbers the rows; it holds once they are materialised."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -140,7 +148,7 @@ def item_segments(items: DataFrame, settings: Settings) -> DataFrame:
         StructField("item_id", items.schema["item_id"].dataType),
         *StructType.fromDDL("segment int, words array<string>, grams array<long>").fields,
     ])
-    return map_rows(items.select("item_id", "text"), run, schema)
+    return map_rows(items.select("item_id", "text"), run, schema).withColumn("seg", F.monotonically_increasing_id())
 
 
 def bitmap(hashed: DataFrame) -> np.ndarray:
@@ -160,9 +168,10 @@ def _held(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def _hits(docs: DataFrame, key: str, bits: np.ndarray, settings: Settings, longest: int) -> DataFrame:
-    """(key, row, base, grams, places, passage): neighbouring hits with the words around them, once for each text.
+    """(key, row, base, grams, places, passage, spot): neighbouring hits with the words around them.
 
-    A passage has at most 4 * reach words; `base` is the place of its first word.
+    A passage has at most 4 * reach words; `base` is the place of its first word.  `spot` numbers the passages; it holds
+    once they are materialised.
     """
     reach = longest + longest // 2 + 8
 
@@ -191,7 +200,7 @@ def _hits(docs: DataFrame, key: str, bits: np.ndarray, settings: Settings, longe
     source = docs.select(F.col(key).alias("key"), row_mark().alias("row"), "text")
     schema = StructType([StructField("key", source.schema["key"].dataType), *StructType.fromDDL(
         "row long, base int, grams array<long>, places array<int>, passage string").fields])
-    return map_rows(source, run, schema).dropDuplicates(["key", "row", "base"])
+    return map_rows(source, run, schema).withColumn("spot", F.monotonically_increasing_id())
 
 
 def row_mark() -> Column:
@@ -234,6 +243,72 @@ def may_reach(item: list[str], passage: list[str], settings: Settings) -> bool:
     return sum(w in held for w in item) >= settings.least * len(item)
 
 
+def _held_words(hits: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(spot, word): the different words of the passages that hold an n-gram of the bitmap."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        grams_of, passages = batch.column(1), batch.column(2)
+        taken, found = [], []
+        for i in range(batch.num_rows):
+            if _held(grams_of[i].values.to_numpy().view(np.uint64), bits).any():
+                taken.append(i)
+                found.append(list(set(_WORD.findall(passages[i].as_py()))))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(taken, pa.int32())), pa.array(found, pa.list_(pa.string()))], names=["spot", "words"])
+
+    return map_rows(hits.select("spot", "grams", "passage"), run, "spot long, words array<string>").select(
+        "spot", F.explode("words").alias("word"))
+
+
+def _rarest_words(crowded: DataFrame, told: DataFrame, settings: Settings) -> DataFrame:
+    """(seg, word, n): of each segment so many of its rarest words that a copy holds one, and the passages in `told` of each.
+
+    A copy holds at least `least` of a segment's words, repeats counted; it cannot do without one more than the others.
+    """
+    placed = crowded.select("seg", F.size("words").alias("size"), F.posexplode("words").alias("at", "word"))
+    known = told.join(small_side(placed.select("word").distinct()), "word").groupBy("word").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("seg").orderBy("n", "word", "at")
+    return (
+        placed.join(known, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        .withColumn("_rank", F.row_number().over(order))
+        .where(F.col("_rank") <= F.col("size") - F.ceil(F.col("size") * settings.least) + 1)
+        .select("seg", "word", "n").distinct()
+    )
+
+
+def candidates(hits: DataFrame, segments: DataFrame, settings: Settings) -> DataFrame:
+    """(spot, seg, low, high) of passages and segments that may be copies; where the segment may begin in the text.
+
+    Both tables are materialised.  A segment with common seeds is searched by its seeds all the same where they make
+    fewer pairs than its rarest words.
+    """
+    seeded = cut(segments.select("seg", F.posexplode("grams").alias("item_at", "gram")))
+    each = hits.select("spot", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("places").alias("at"))))
+    owners = small_side(seeded.groupBy("gram").agg(F.count("*").alias("owners")))
+    counted = cut(each.join(owners, "gram").groupBy("gram", "owners").agg(F.count("*").alias("n")))
+    common = F.col("n") * F.col("owners") > settings.rare
+
+    def placed(pairs: DataFrame) -> DataFrame:
+        shift = F.col("at") - F.col("item_at")
+        return pairs.groupBy("spot", "seg").agg(F.min(shift).alias("low"), F.max(shift).alias("high"))
+
+    if counted.where(common).isEmpty():
+        return placed(each.join(small_side(seeded), "gram"))
+    met = cut(seeded.join(counted.withColumn("common", common).select("gram", "n", "common"), "gram"))
+    crowded = met.where("common").groupBy("seg").agg(F.sum("n").alias("by_gram")).join(segments.select("seg", "words"), "seg")
+    told = cut(_held_words(hits, bitmap(counted.where(common).select("gram"))))
+    rarest = cut(_rarest_words(crowded, told, settings))
+    by_word = rarest.groupBy("seg").agg(F.sum("n").alias("by_word"))
+    worded = cut(crowded.join(by_word, "seg").where("by_word < by_gram").select("seg"))
+    alone = met.join(worded, "seg", "left_anti")
+    found = (
+        told.join(small_side(rarest.join(worded, "seg").select("seg", "word")), "word").select("spot", "seg")
+        .unionByName(each.join(small_side(met.where("not common").join(worded, "seg").select("seg", "gram")), "gram").select("spot", "seg"))
+        .distinct()
+    )
+    evidence = found.join(each, "spot").join(seeded, ["seg", "gram"])
+    return placed(each.join(small_side(alone.select("seg", "gram", "item_at")), "gram")).unionByName(placed(evidence))
+
+
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """(key, row, item_id, segment, score, first_word, last_word) of every copy, the best of each document and segment.
 
@@ -242,20 +317,11 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", settings: Se
     kept as null.  Other columns are not read.
     """
     segments = cut(item_segments(items.distinct(), settings))
-    seeded = cut(segments.select("item_id", "segment", F.posexplode("grams").alias("item_at", "gram")))
     longest = segments.agg(F.coalesce(F.max(F.size("words")), F.lit(0))).first()[0]
-    hits = cut(_hits(docs, key, bitmap(seeded), settings, longest))
-    wanted = small_side(seeded)
-    each = hits.select("key", "row", "base", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("places").alias("at"))))
-    gathered = each.join(wanted, "gram").groupBy("key", "row", "base", "item_id", "segment").agg(
-        F.min(F.col("at") - F.col("item_at")).alias("low"), F.max(F.col("at") - F.col("item_at")).alias("high")
-    )
-    texts = segments.select(F.col("item_id").alias("_item"), F.col("segment").alias("_segment"), "words")
-    gathered = gathered.join(texts, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("segment") == F.col("_segment")))
+    hits = cut(_hits(docs, key, bitmap(segments.select(F.explode("grams").alias("gram"))), settings, longest))
     # the passages, the widest column, join last and only once
-    same = F.col("g.key").eqNullSafe(F.col("h.key")) & (F.col("g.row") == F.col("h.row")) & (F.col("g.base") == F.col("h.base"))
-    pairs = gathered.alias("g").join(hits.alias("h"), same).select(
-        "g.key", "g.row", "item_id", "segment", "low", "high", "g.base", "passage", "words")
+    pairs = hits.join(small_side(candidates(hits, segments, settings)), "spot").join(segments, "seg").select(
+        "key", "row", "item_id", "segment", "low", "high", "base", "passage", "words")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         low, high, base = (batch.column(i).to_pylist() for i in (4, 5, 6))
