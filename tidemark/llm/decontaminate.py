@@ -38,13 +38,14 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Settings:
     """gram: words of a seed.  segment: most words of an item that are aligned at once.
-    rare: most pairs of a passage and a segment that a seed may make alone; changes the work, not the rows.
+    rare: most pairs of a passage and a segment that a seed may make alone, for each passage with hits; changes the
+    work, not the rows.
     least: share of a segment's own score that makes a passage a copy.
     match, mismatch, gap: Smith-Waterman scores."""
 
     gram: int = 3
     segment: int = 256
-    rare: int = 1_000
+    rare: float = 0.001
     least: float = 0.5
     match: int = 2
     mismatch: int = -1
@@ -243,33 +244,46 @@ def may_reach(item: list[str], passage: list[str], settings: Settings) -> bool:
     return sum(w in held for w in item) >= settings.least * len(item)
 
 
-def _held_words(hits: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(spot, word): the different words of the passages that hold an n-gram of the bitmap."""
+def _word_hashes(text: str) -> np.ndarray:
+    """One-word grams, so that words are spread over the bitmap as n-grams are."""
+    return grams(_Words(text).hashes(), 1)
+
+
+def _segment_words(crowded: DataFrame) -> DataFrame:
+    """(seg, size, word): the hashed words of the segments, repeats included."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [_word_hashes(" ".join(w)).view(np.int64).tolist() for w in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["seg", "words"])
+
+    return map_rows(crowded.select("seg", "words"), run, "seg long, words array<long>").select(
+        "seg", F.size("words").alias("size"), F.explode("words").alias("word"))
+
+
+def _held_words(hits: DataFrame, seeds: np.ndarray, vocabulary: np.ndarray) -> DataFrame:
+    """(spot, words): of the passages that hold an n-gram of `seeds`, the different hashed words that are in `vocabulary`."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         grams_of, passages = batch.column(1), batch.column(2)
         taken, found = [], []
         for i in range(batch.num_rows):
-            if _held(grams_of[i].values.to_numpy().view(np.uint64), bits).any():
+            if _held(grams_of[i].values.to_numpy().view(np.uint64), seeds).any():
+                single = np.unique(_word_hashes(passages[i].as_py()))
                 taken.append(i)
-                found.append(list(set(_WORD.findall(passages[i].as_py()))))
+                found.append(single[_held(single, vocabulary)].view(np.int64))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(taken, pa.int32())), pa.array(found, pa.list_(pa.string()))], names=["spot", "words"])
+            [batch.column(0).take(pa.array(taken, pa.int32())), pa.array(found, pa.list_(pa.int64()))], names=["spot", "words"])
 
-    return map_rows(hits.select("spot", "grams", "passage"), run, "spot long, words array<string>").select(
-        "spot", F.explode("words").alias("word"))
+    return map_rows(hits.select("spot", "grams", "passage"), run, "spot long, words array<long>")
 
 
-def _rarest_words(crowded: DataFrame, told: DataFrame, settings: Settings) -> DataFrame:
-    """(seg, word, n): of each segment so many of its rarest words that a copy holds one, and the passages in `told` of each.
+def _rarest_words(placed: DataFrame, held: DataFrame, settings: Settings) -> DataFrame:
+    """(seg, word, n): of each segment so many of its rarest words that a copy holds one; `n` passages hold the word.
 
     A copy holds at least `least` of a segment's words, repeats counted; it cannot do without one more than the others.
     """
-    placed = crowded.select("seg", F.size("words").alias("size"), F.posexplode("words").alias("at", "word"))
-    known = told.join(small_side(placed.select("word").distinct()), "word").groupBy("word").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("seg").orderBy("n", "word", "at")
+    known = held.groupBy("word").agg(F.count("*").alias("n"))
     return (
         placed.join(known, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        .withColumn("_rank", F.row_number().over(order))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy("seg").orderBy("n", "word")))
         .where(F.col("_rank") <= F.col("size") - F.ceil(F.col("size") * settings.least) + 1)
         .select("seg", "word", "n").distinct()
     )
@@ -285,7 +299,7 @@ def candidates(hits: DataFrame, segments: DataFrame, settings: Settings) -> Data
     each = hits.select("spot", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("places").alias("at"))))
     owners = small_side(seeded.groupBy("gram").agg(F.count("*").alias("owners")))
     counted = cut(each.join(owners, "gram").groupBy("gram", "owners").agg(F.count("*").alias("n")))
-    common = F.col("n") * F.col("owners") > settings.rare
+    common = F.col("n") * F.col("owners") > settings.rare * hits.count()
 
     def placed(pairs: DataFrame) -> DataFrame:
         shift = F.col("at") - F.col("item_at")
@@ -295,13 +309,16 @@ def candidates(hits: DataFrame, segments: DataFrame, settings: Settings) -> Data
         return placed(each.join(small_side(seeded), "gram"))
     met = cut(seeded.join(counted.withColumn("common", common).select("gram", "n", "common"), "gram"))
     crowded = met.where("common").groupBy("seg").agg(F.sum("n").alias("by_gram")).join(segments.select("seg", "words"), "seg")
-    told = cut(_held_words(hits, bitmap(counted.where(common).select("gram"))))
-    rarest = cut(_rarest_words(crowded, told, settings))
+    placed_words = cut(_segment_words(crowded))
+    told = cut(_held_words(hits, bitmap(counted.where(common).select("gram")),
+                           bitmap(placed_words.select(F.col("word").alias("gram")))))
+    held = told.select("spot", F.explode("words").alias("word"))
+    rarest = cut(_rarest_words(placed_words, held, settings))
     by_word = rarest.groupBy("seg").agg(F.sum("n").alias("by_word"))
     worded = cut(crowded.join(by_word, "seg").where("by_word < by_gram").select("seg"))
     alone = met.join(worded, "seg", "left_anti")
     found = (
-        told.join(small_side(rarest.join(worded, "seg").select("seg", "word")), "word").select("spot", "seg")
+        held.join(small_side(rarest.join(worded, "seg").select("seg", "word")), "word").select("spot", "seg")
         .unionByName(each.join(small_side(met.where("not common").join(worded, "seg").select("seg", "gram")), "gram").select("spot", "seg"))
         .distinct()
     )
