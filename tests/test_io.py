@@ -251,3 +251,31 @@ def test_report_titles(spark):
     assert set(reports.titled_feed(feed).columns) == set(reports.FEED_TITLES.values())
     assert reports.titled_feed(feed, "credit_card").count() == 0
     assert [r.product for r in reports.offered_products(feed).collect()] == ["home_loan"]
+
+
+def test_insert_new_reads_only_partitions_whose_filter_knows_a_key(spark, tmp_path):
+    path = str(tmp_path / "inserted")
+    insert = lambda *rows: sinks.insert_new(
+        spark.createDataFrame(rows, "event_id string, v int, day string").selectExpr("event_id", "v", "cast(day as date) as event_date"), path)
+    held = lambda day: sorted(tuple(r) for r in spark.read.parquet(f"{path}/event_date={day}").collect())
+    insert(("a", 1, "2024-01-01"), ("b", 1, "2024-01-01"), ("b", 1, "2024-01-01"), ("c", 1, "2024-01-02"), ("n", 1, None))
+    insert(("a", 2, "2024-01-01"), ("d", 2, "2024-01-01"), ("n", 2, None))
+    assert held("2024-01-01") == [("a", 1), ("b", 1), ("d", 2)] and held("__HIVE_DEFAULT_PARTITION__") == [("n", 1)]
+    # a batch of new keys, and one that replays another day, do not open the files of a day
+    for file in (tmp_path / "inserted" / "event_date=2024-01-01").glob("*.parquet"):
+        file.write_bytes(b"unreadable")
+    insert(("e", 3, "2024-01-01"))
+    insert(("f", 3, "2024-01-01"), ("c", 3, "2024-01-02"), ("g", 3, "2024-01-02"))
+    assert held("2024-01-02") == [("c", 1), ("g", 3)]
+    with pytest.raises(Exception):
+        insert(("a", 4, "2024-01-01"))
+
+
+def test_insert_new_gives_an_older_table_its_filter(spark, tmp_path):
+    path = str(tmp_path / "older")
+    rows = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02")], "event_id string, day string").selectExpr(
+        "event_id", "cast(day as date) as event_date")
+    rows.write.partitionBy("event_date").parquet(path)
+    for _ in range(2):
+        sinks.insert_new(rows.unionByName(rows.selectExpr("concat(event_id, 'x') as event_id", "event_date")), path)
+    assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == ["a", "ax", "b", "bx"]

@@ -35,17 +35,47 @@ def write_batch(df: DataFrame, path: str, batch_id: int, run: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
 
+def _key_bits(df: DataFrame, key: str, by: str) -> DataFrame:
+    """(by, slot, bits): a Bloom filter of the keys of each partition, with one hash of 30 bits, in words of 64 bits."""
+    hashed = F.xxhash64(key)
+    bit = F.shiftrightunsigned(hashed, 34).bitwiseAND(63).cast("int")
+    return df.select(
+        by, F.shiftrightunsigned(hashed, 40).alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"))
+
+
+def _of(df: DataFrame, by: str, values: list) -> DataFrame:
+    """The rows of some partitions, as a filter that reaches the scan."""
+    held = F.col(by).isin([v for v in values if v is not None])
+    return df.where(held | F.col(by).isNull() if None in values else held)
+
+
 def insert_new(df: DataFrame, path: str, key: str = "event_id", by: str = "event_date") -> None:
-    """Append the rows whose key is not in the table yet.
+    """Append the rows whose key is not in the table's partition yet.
 
-    The table is partitioned by `by`; only the partitions the new rows fall into are read.
+    The table is partitioned by `by`, a date or the like, whose values of one batch go through the driver.  A Bloom filter
+    of each partition's keys stands in `{path}_keys`.  Only partitions whose filter knows a key of the batch are read, so
+    new keys read no stored ones.  The filter is written before the rows: what a lost run leaves in it costs a read, never
+    a row.  A table without a filter gets one from its keys.  One writer at a time.
     """
-    spark = df.sparkSession
+    spark, keys = df.sparkSession, f"{path}_keys"
     fresh = df.dropDuplicates([key])
+    write_bits = lambda rows, mode: rows.groupBy(by, "slot").agg(F.bit_or("bits").alias("bits")).write.mode(
+        mode).partitionBy(by).parquet(keys)
     if path_exists(spark, path):
-        touched = fresh.select(by).distinct()
-        known = spark.read.schema(fresh.schema).parquet(path).join(F.broadcast(touched), by, "left_semi").select(key)
-        fresh = fresh.join(known, key, "left_anti")
+        table = spark.read.schema(fresh.schema).parquet(path)
+        if not path_exists(spark, f"{keys}/_SUCCESS"):
+            write_bits(_key_bits(table, key, by), "overwrite")
+        touched = [r[0] for r in fresh.select(by).distinct().collect()]
+        mine = _key_bits(fresh, key, by)
+        stored = _of(spark.read.schema(mine.schema).parquet(keys), by, touched)
+        same = (F.col(f"m.{by}").eqNullSafe(F.col(f"s.{by}")) & (F.col("m.slot") == F.col("s.slot"))
+                & (F.col("m.bits").bitwiseAND(F.col("s.bits")) != 0))
+        doubtful = [r[0] for r in mine.alias("m").join(stored.alias("s"), same, "left_semi").select(by).distinct().collect()]
+        if doubtful:
+            known = _of(table, by, doubtful).select(F.col(key).alias("key"), F.col(by).alias("by"))
+            again = (F.col(f"f.{key}") == F.col("k.key")) & F.col(f"f.{by}").eqNullSafe(F.col("k.by"))
+            fresh = fresh.alias("f").join(known.alias("k"), again, "left_anti")
+    write_bits(_key_bits(fresh, key, by), "append")
     fresh.write.mode("append").partitionBy(by).parquet(path)
 
 
