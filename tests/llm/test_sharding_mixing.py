@@ -1,5 +1,6 @@
 import hashlib
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,3 +113,21 @@ def test_mix_of_odd_rows(spark):
     assert {(r.doc_id, r["size"]) for r in mixing.mix(docs).collect()} == {(1, 0), (2, 0), (3, 5000), (None, 2), (5, 1)}
     assert set(mixing.mixed(docs).columns) == set(docs.columns)
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
+
+
+def test_sql_takes_a_part_of_equal_rows_at_the_cut_as_the_query_does(spark, tmp_path):
+    import duckdb
+
+    from tidemark.llm.oracle import ORACLE
+    from tidemark.llm.queries import mix_sources
+
+    rows = [(1, "a b c", "x")] * 9 + [(2, "d e", "y")] * 7 + [(d, "w " * (d % 5), None) for d in range(10, 30)] + [(3, None, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = mix_sources(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    expected = con.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE['op2_mixing']})").fetchall()
+    rounded = lambda found: Counter(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in found)
+    assert rounded(map(tuple, got.collect())) == rounded(expected)
+    # copies of one row are taken unequally often
+    assert max(len({r.taken for r in got.collect() if r.doc_id == d}) for d in (1, 2)) == 2

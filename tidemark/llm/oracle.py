@@ -43,15 +43,12 @@ WITH d AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t
 ), run AS (
   SELECT d.*, n.source_size, n.target, n.whole, n.target - n.whole * n.source_size AS need,
-         sum(size) OVER (PARTITION BY d.source ORDER BY pos RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reach,
-         sum(size) OVER (PARTITION BY d.source, pos) AS tied
+         sum(size) OVER (PARTITION BY d.source ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reach
   FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source
-), last AS (
-  SELECT source, max(pos) AS cut FROM run WHERE need > 0 AND size > 0 AND reach - tied / 2 <= need GROUP BY source
 )
 SELECT doc_id, size, source_size, target,
-       CAST((whole + CASE WHEN need > 0 AND pos <= cut THEN 1 ELSE 0 END) * size AS BIGINT) AS taken, run.source
-FROM run LEFT JOIN last ON run.source IS NOT DISTINCT FROM last.source
+       CAST((whole + CASE WHEN need > 0 AND reach - size / 2 <= need THEN 1 ELSE 0 END) * size AS BIGINT) AS taken, source
+FROM run
 """
 
 ORACLE["op6_embeddings"] = """
